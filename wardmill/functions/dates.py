@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, functions as F
 
 
@@ -22,9 +24,9 @@ def weekday_num(c: str | Column) -> Column:
     return (F.dayofweek(_col(c)) - 1).cast("int")
 
 
-def weekday_name(c: str | Column) -> Column:
-    """English day name without blank padding."""
-    return F.date_format(_col(c), "EEEE")
+def weekday_name(number: str | Column) -> Column:
+    """English day name, without blank padding, of a weekday number (2 January 2000 was a Sunday)."""
+    return F.date_format(F.date_add(F.lit(dt.date(2000, 1, 2)), _col(number)), "EEEE")
 
 
 def quarter_number(later: str | Column, earlier: str | Column) -> Column:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 def keep_first(df: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
-    """First row per key in the given order (default: all other columns).
+    """First row per key in the given order, NULL first; remaining columns break ties.
 
-    A rank filter of this form lets Spark drop all but the first row of each key inside every
-    input partition (``WindowGroupLimit``) before the shuffle, so a key that holds a large part of
-    the table sends one row per task.
+    The row is the minimum of a struct, which Spark aggregates inside every input partition before
+    the shuffle: a key that holds a large part of the table sends one row per task. A window would
+    sort by the order columns as well.
     """
-    order_by = order_by or [c for c in df.columns if c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_first(c) for c in order_by])
-    return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
+    order_by = order_by or []
+    rest = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]
+    first = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first"))
+    return first.select(*[c if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])

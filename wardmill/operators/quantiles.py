@@ -14,7 +14,8 @@ BUCKET = 1_000_000
 
 
 def percentile_cont(df: DataFrame, group: str, value: str, p: float, out: str) -> DataFrame:
-    """(group, out): linear interpolation between the two neighbours of position p * (n - 1)."""
+    """(group, out): linear interpolation between the two neighbours of position p * (n - 1). ``group``
+    is a category column with few values."""
     cents = (F.col(value) * 100).cast("bigint")
     rows = df.where(F.col(value).isNotNull()).select(
         group, cents.alias("_cents"), F.floor(cents / BUCKET).alias("_bucket")
@@ -32,7 +33,8 @@ def percentile_cont(df: DataFrame, group: str, value: str, p: float, out: str) -
         .where((F.col("_high") >= F.col("_before")) & (F.col("_low") < F.col("_before") + F.col("_n")))
         .select(group, "_bucket", "_before", "_low", "_high", "_weight")
     )
-    fine = rows.join(wanted, [group, "_bucket"])
+    # at most two rows per group, and groups are categories
+    fine = rows.join(F.broadcast(wanted), [group, "_bucket"])
     counted = fine.groupBy(group, "_bucket", "_before", "_low", "_high", "_weight", "_cents").agg(
         F.count(F.lit(1)).alias("_n")
     )

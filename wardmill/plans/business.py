@@ -45,14 +45,14 @@ def q02_patient_growth(patients: DataFrame) -> DataFrame:
 
 def q03_noshow_dept_weekday(visits: DataFrame, doctors: DataFrame) -> DataFrame:
     by_doctor = visits.groupBy("doctor_id", weekday_num("appointment_date").alias("weekday_num")).agg(
-        F.min(weekday_name("appointment_date")).alias("weekday"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(is_status(NO_SHOW)).alias("missed"),
     )
     return (
         by_doctor.join(doctors.select("doctor_id", "department"), "doctor_id")
-        .groupBy("department", "weekday", "weekday_num")
+        .groupBy("department", "weekday_num")
         .agg(F.sum("n").alias("total_appointments"), F.sum("missed").alias("no_shows"))
+        .withColumn("weekday", weekday_name("weekday_num"))
         .withColumn("no_show_rate_pct", share_pct(F.col("no_shows"), F.col("total_appointments")))
         .orderBy(F.desc_nulls_first("no_show_rate_pct"), "department", "weekday_num")
     )
@@ -280,11 +280,11 @@ def q16_weekday_density(visits: DataFrame) -> DataFrame:
         visits.where(is_status(COMPLETED))
         .groupBy(weekday_num("appointment_date").alias("weekday_num"))
         .agg(
-            F.min(weekday_name("appointment_date")).alias("weekday"),
             F.count(F.lit(1)).alias("total_appointments"),
             whole_mean(F.sum("waiting_time_minutes"), F.count("waiting_time_minutes")).alias("avg_wait_minutes"),
             money_mean(F.sum("appointment_cost"), F.count("appointment_cost")).alias("avg_cost"),
         )
+        .withColumn("weekday", weekday_name("weekday_num"))
         .orderBy("weekday_num")
     )
 

@@ -23,11 +23,16 @@ def viz_gender_distribution(patients: DataFrame) -> DataFrame:
     return patients.groupBy("gender").agg(F.count(F.lit(1)).alias("patients"))
 
 
+def _seen(appointments: DataFrame, patients: DataFrame) -> DataFrame:
+    """Patients with appointments; the ids are made distinct before the join."""
+    return with_known(patients, appointments.select("patient_id").distinct(), "patient_id")
+
+
 def viz_age_histogram(appointments: DataFrame, patients: DataFrame, width: int = 10) -> DataFrame:
     """Known patients with appointments, each once, by age bin."""
     start = F.floor(F.col("age") / width) * width
     return (
-        with_known(patients, appointments, "patient_id")
+        _seen(appointments, patients)
         .groupBy(start.cast("int").alias("age_bin"))
         .agg(F.count("patient_id").alias("patients"))
         .orderBy(F.desc("patients"), "age_bin")
@@ -100,7 +105,7 @@ def viz_top_doctors(doctor_totals: DataFrame, k: int = 10) -> DataFrame:
 
 def viz_page1_cards(department_totals: DataFrame, appointments: DataFrame, patients: DataFrame) -> DataFrame:
     """Revenue over departments, appointments, and distinct known patients."""
-    seen = with_known(patients, appointments, "patient_id")
+    seen = _seen(appointments, patients)
     return side_by_side(
         [
             department_totals.agg(F.sum("total_revenue").cast(MONEY_SUM).alias("revenue")),

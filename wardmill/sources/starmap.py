@@ -97,7 +97,7 @@ class StarClinic:
     @cached_property
     def visits(self) -> DataFrame:
         """Appointments without ``patient_id``: plans that do not use the patient skip the join."""
-        return keep_first(self._lines, ["appointment_id"], VISIT_ORDER)
+        return keep_first(self._lines.where("appointment_id IS NOT NULL"), ["appointment_id"], VISIT_ORDER)
 
     @cached_property
     def appointments(self) -> DataFrame:
