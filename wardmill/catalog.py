@@ -59,6 +59,12 @@ def _clean_patients(c: StarClinic) -> DataFrame:
     return cleaning.clean_patients(c.raw_patients)
 
 
+def _known_patients(c: StarClinic) -> DataFrame:
+    """The cleaned dimension is stored before the facts are checked against it. Read back, both sides of
+    the check are shuffled afresh, which is what lets Spark split a patient who holds many rows."""
+    return durable(_clean_patients(c).select("patient_id"))
+
+
 def _quality(c: StarClinic) -> DataFrame:
     return quality.quality_report(c.raw_patients, c.raw_appointments, c.raw_treatments, AS_OF)
 
@@ -87,7 +93,7 @@ def _scored(c: StarClinic) -> DataFrame:
 
 def _train(kind: str) -> Callable[[StarClinic], DataFrame]:
     def run(c: StarClinic) -> DataFrame:
-        return model.train_and_evaluate(durable(model.prepared(_risk_features(c))), kind)[1]
+        return model.train_and_evaluate(model.prepared(_risk_features(c)), kind)[1]
 
     return run
 
@@ -111,10 +117,10 @@ BUILDERS: dict[str, Callable[[StarClinic], DataFrame]] = {
     "inject_defects_appointments": lambda c: c.raw_appointments,
     "inject_defects_treatments": lambda c: c.raw_treatments,
     # integrity
-    "ri_appointments": lambda c: integrity.with_known(_clean_appointments(c), _clean_patients(c), "patient_id"),
-    "ri_treatments": lambda c: integrity.with_known(_clean_treatments(c), _clean_patients(c), "patient_id"),
+    "ri_appointments": lambda c: integrity.with_known(_clean_appointments(c), _known_patients(c), "patient_id"),
+    "ri_treatments": lambda c: integrity.with_known(_clean_treatments(c), _known_patients(c), "patient_id"),
     "ri_orphans": lambda c: integrity.orphan_report(
-        _clean_patients(c), c.doctors, _clean_appointments(c), _clean_treatments(c)
+        _known_patients(c), c.doctors, _clean_appointments(c), _clean_treatments(c)
     ),
     # quality and cleaning
     "dq_patients": lambda c: quality.check_patients(c.raw_patients, AS_OF),

@@ -150,24 +150,44 @@ def mv_monthly_revenue(appointments: DataFrame, treatments: DataFrame, doctors:
     """Month and department revenue where every appointment counts once per treatment of the same
     patient and month, and every treatment once per such appointment.
 
-    The pairs are never formed: treatments are summed by patient and month first, and their number
-    then weights the appointment.
+    The pairs are never formed. Both facts are summed by patient, month and department (none for
+    treatments) in one aggregation, and a patient's month, now at most one row per department, hands
+    the number and cost of its treatments to its appointment rows.
     """
-    monthly_care = (
-        treatments.where("patient_id IS NOT NULL")
-        .groupBy("patient_id", month_of("treatment_date").alias("month"))
-        .agg(F.count(F.lit(1)).alias("care_n"), F.sum("treatment_cost").cast(MONEY_SUM).alias("care_cost"))
-    )
-    weight = F.coalesce("care_n", F.lit(1))
-    joined = (
-        appointments.withColumn("month", month_of("appointment_date"))
-        .join(monthly_care, ["patient_id", "month"], "left")
-        .join(doctors.select("doctor_id", "department"), "doctor_id")
+    blank = F.lit(None)
+    visits = appointments.join(doctors.select("doctor_id", "department"), "doctor_id").select(
+        "patient_id",
+        month_of("appointment_date").alias("month"),
+        "department",
+        F.lit(1).alias("visit"),
+        completed_cost().alias("visit_cost"),
+        blank.cast("int").alias("care"),
+        blank.cast("decimal(12,2)").alias("care_cost"),
+    )
+    care = treatments.where("patient_id IS NOT NULL").select(
+        "patient_id",
+        month_of("treatment_date").alias("month"),
+        blank.cast("string").alias("department"),
+        blank.cast("int").alias("visit"),
+        blank.cast("decimal(12,2)").alias("visit_cost"),
+        F.lit(1).alias("care"),
+        "treatment_cost",
+    )
+    sums = (
+        visits.union(care)
+        .groupBy("patient_id", "month", "department")
+        .agg(*[F.sum(c).alias(c) for c in ["visit", "visit_cost", "care", "care_cost"]])
+    )
+    same_month = Window.partitionBy("patient_id", "month")
+    weighted = (
+        sums.withColumn("care", F.coalesce(F.sum("care").over(same_month), F.lit(1)))
+        .withColumn("care_cost", F.sum("care_cost").over(same_month).cast(MONEY_SUM))
+        .where("visit IS NOT NULL")
     )
-    grouped = joined.groupBy("month", "department").agg(
-        F.sum(weight).alias("total_appointments"),
-        F.sum(completed_cost() * weight).cast(MONEY_SUM).alias("appointment_revenue"),
-        F.sum("care_cost").cast(MONEY_SUM).alias("treatment_revenue"),
+    grouped = weighted.groupBy("month", "department").agg(
+        F.sum(F.col("visit") * F.col("care")).alias("total_appointments"),
+        F.sum(F.col("visit_cost") * F.col("care")).cast(MONEY_SUM).alias("appointment_revenue"),
+        F.sum(F.col("care_cost") * F.col("visit")).cast(MONEY_SUM).alias("treatment_revenue"),
     )
     return _with_total(grouped)
 

@@ -49,7 +49,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Materialise a frame that several branches of a plan read, so that it is computed once and
-    survives the loss of executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Store a frame that several branches of a plan read: it is computed once, survives the loss of
+    executors, and is read back column by column with its true size known."""
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
