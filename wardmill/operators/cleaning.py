@@ -14,6 +14,25 @@ def _valid_age() -> Column:
     return F.col("age").between(1, 120)
 
 
+def _listed_gender() -> Column:
+    return F.col("gender").isin(GENDERS)
+
+
+def _sound_appointment() -> Column:
+    cost, wait = F.col("appointment_cost"), F.col("waiting_time_minutes")
+    return (
+        F.col("patient_id").isNotNull()
+        & F.col("appointment_status").isin(STATUSES)
+        & (cost.isNull() | (cost >= 0))
+        & (wait.isNull() | (wait >= 0))
+    )
+
+
+def _sound_treatment(as_of: dt.date) -> Column:
+    cost = F.col("treatment_cost")
+    return (F.col("treatment_date") <= F.lit(as_of)) & (cost.isNull() | (cost >= 0))
+
+
 def _typed_patients(raw: DataFrame, order_by: list[str] | None) -> DataFrame:
     """Unique, identified patients; an age that is not a number becomes NULL."""
     return (
@@ -34,24 +53,17 @@ def clean_patients(raw: DataFrame, order_by: list[str] | None = None) -> DataFra
     valid ones, then drop rows without a listed gender. The median is taken before that last step."""
     typed = _typed_patients(raw, order_by)
     imputed = F.when(_valid_age(), F.col("age")).otherwise(median_age(typed).scalar())
-    return typed.withColumn("age", imputed).where(F.col("gender").isin(GENDERS))
+    return typed.withColumn("age", imputed).where(_listed_gender())
 
 
 def clean_appointments(raw: DataFrame, order_by: list[str] | None = None) -> DataFrame:
-    return (
-        keep_first(raw, ["appointment_id"], order_by)
-        .where(F.col("patient_id").isNotNull())
-        .where(F.col("appointment_status").isin(STATUSES))
-        .where(F.col("appointment_cost").isNull() | (F.col("appointment_cost") >= 0))
-        .where(F.col("waiting_time_minutes").isNull() | (F.col("waiting_time_minutes") >= 0))
-    )
+    return keep_first(raw, ["appointment_id"], order_by).where(_sound_appointment())
 
 
 def clean_treatments(raw: DataFrame, as_of: dt.date, order_by: list[str] | None = None) -> DataFrame:
     return (
         keep_first(raw, ["treatment_id"], order_by)
-        .where(F.col("treatment_date") <= F.lit(as_of))
-        .where(F.col("treatment_cost").isNull() | (F.col("treatment_cost") >= 0))
+        .where(_sound_treatment(as_of))
         .fillna("Unspecified", ["diagnosis"])
     )
 
@@ -59,35 +71,35 @@ def clean_treatments(raw: DataFrame, as_of: dt.date, order_by: list[str] | None
 def clean_audit(
     patients: DataFrame, appointments: DataFrame, treatments: DataFrame, as_of: dt.date, orders: dict | None = None
 ) -> DataFrame:
-    """Rows before and after each cleaner; for patients also the two kinds
-    of imputed ages, the median used and rows
-    dropped for their gender."""
+    """Rows before and after each cleaner; for patients also the two kinds of imputed ages, the median
+    used and the rows dropped for their gender. Every table is read once: the deduplication carries
+    the number of rows it saw."""
     orders = orders or {}
-    n = F.count(F.lit(1))
-    bad_gender = F.col("gender").isNull() | ~F.col("gender").isin(GENDERS)
-    typed = _typed_patients(patients, orders.get("patients"))
-    patient_part = typed.agg(
-        F.count_if(~bad_gender).alias("rows_after"),
-        F.count_if(~_valid_age()).alias("ages_out_of_range"),
-        F.count_if(F.col("age").isNull()).alias("ages_missing"),
-        F.median(F.when(_valid_age(), F.col("age"))).alias("median_age"),
-        F.count_if(bad_gender).alias("bad_gender_dropped"),
-    )
-    parts = [
-        ("patients", patients, patient_part),
-        ("appointments", appointments,
-         clean_appointments(appointments, orders.get("appointments")).agg(n.alias("rows_after"))),
-        ("treatments", treatments,
-         clean_treatments(treatments, as_of, orders.get("treatments")).agg(n.alias("rows_after"))),
-    ]
+
+    def first(raw: DataFrame, name: str, key: str) -> DataFrame:
+        return keep_first(raw, [key], orders.get(name), copies="_copies")
+
+    def counts(kept: Column) -> list[Column]:
+        return [
+            F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows_before"),
+            F.count_if(kept).alias("rows_after"),
+        ]
+
+    identified = F.col("patient_id").isNotNull()
+    typed = first(patients, "patients", "patient_id").withColumn("age", F.expr("try_cast(age AS double)"))
+    parts = {
+        "patients": typed.agg(
+            *counts(identified & _listed_gender()),
+            F.count_if(identified & ~_valid_age()).alias("ages_out_of_range"),
+            F.count_if(identified & F.col("age").isNull()).alias("ages_missing"),
+            F.median(F.when(identified & _valid_age(), F.col("age"))).alias("median_age"),
+            F.count_if(identified & ~F.coalesce(_listed_gender(), F.lit(False))).alias("bad_gender_dropped"),
+        ),
+        "appointments": first(appointments, "appointments", "appointment_id").agg(*counts(_sound_appointment())),
+        "treatments": first(treatments, "treatments", "treatment_id").agg(*counts(_sound_treatment(as_of))),
+    }
     out = None
-    for name, raw, after in parts:
-        both = raw.agg(n.alias("rows_before")).unionByName(after, allowMissingColumns=True)
-        both = both.withColumn("table_name", F.lit(name))
-        out = both if out is None else out.unionByName(both, allowMissingColumns=True)
-    columns = ["rows_before", "rows_after", "ages_out_of_range", "ages_missing", "median_age", "bad_gender_dropped"]
-    return (
-        out.groupBy("table_name")
-        .agg(*[F.max(c).alias(c) for c in columns])
-        .withColumn("rows_dropped", F.col("rows_before") - F.col("rows_after"))
-    )
+    for name, counted in parts.items():
+        one = counted.withColumn("table_name", F.lit(name))
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out.withColumn("rows_dropped", F.col("rows_before") - F.col("rows_after"))

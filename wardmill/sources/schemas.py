@@ -20,10 +20,10 @@ def _table(key: T.DataType, *fields: tuple[str, T.DataType | str]) -> T.StructTy
     return T.StructType([T.StructField(n, key if t == "key" else t) for n, t in fields])
 
 
-def patients(key: T.DataType = T.StringType()) -> T.StructType:
+def patients(key: T.DataType = T.StringType(), age: T.DataType = T.IntegerType()) -> T.StructType:
     return _table(
         key,
-        ("patient_id", "key"), ("age", T.IntegerType()), ("gender", T.StringType()),
+        ("patient_id", "key"), ("age", age), ("gender", T.StringType()),
         ("city", T.StringType()), ("registration_date", T.DateType()),
     )
 
@@ -60,9 +60,3 @@ def resources() -> T.StructType:
         ("occupied_beds", T.IntegerType()), ("staff_count", T.IntegerType()),
         ("equipment_utilization", T.DecimalType(4, 2)), ("snapshot_date", T.DateType()),
     )
-
-
-TABLES = {
-    "patients": patients, "doctors": doctors, "appointments": appointments,
-    "treatments": treatments,
-}
