@@ -110,18 +110,20 @@ def q06_retention_cohort(patients: DataFrame, appointments: DataFrame) -> DataFr
 
 
 def q07_wait_trend(visits: DataFrame) -> DataFrame:
-    """Daily mean wait and the mean of the last 30 daily means (rows, not calendar days)."""
+    """Daily mean wait and the mean of the last 30 daily means (rows, not calendar days). Daily means
+    enter with 16 digits, so that their mean does not depend on the order of summation."""
     daily = (
         visits.where(is_status(COMPLETED))
         .groupBy("appointment_date")
         .agg(F.sum("waiting_time_minutes").alias("wait"), F.count("waiting_time_minutes").alias("wait_n"))
+        .withColumn("mean", whole_mean(F.col("wait"), F.col("wait_n"), 16).cast("decimal(26,16)"))
     )
     last30 = Window.orderBy("appointment_date").rowsBetween(-29, 0)
-    mean = F.try_divide(F.col("wait").cast("double"), F.col("wait_n"))
+    days = F.nullif(F.count("mean").over(last30), F.lit(0))
     return daily.select(
         "appointment_date",
         whole_mean(F.col("wait"), F.col("wait_n")).alias("daily_avg_wait"),
-        F.round(F.avg(mean).over(last30), 1).alias("rolling_30d_avg_wait"),
+        F.round(F.sum("mean").over(last30) / days, 1).alias("rolling_30d_avg_wait"),
     ).orderBy("appointment_date")
 
 
