@@ -325,3 +325,14 @@ def test_bad_csv_values_become_null(spark, tmp_path):
     (tmp_path / "p.csv").write_text("patient_id,age,gender,city,registration_date\nP1,abc,Male,A,2021-01-01\nP2,5,,B,bad\n")
     got = files.scan_csv(spark, str(tmp_path / "p.csv"), schemas.patients())
     assert rows(got) == [("P1", None, "Male", "A", day("2021-01-01")), ("P2", 5, None, "B", None)]
+
+
+def test_views_answer_sql(spark, clinic):
+    views.register(clinic.patients, clinic.doctors, clinic.appointments, clinic.treatments, clinic.resources)
+    by_sql = spark.sql(
+        """SELECT department, total_revenue, rank() OVER (ORDER BY total_revenue DESC NULLS FIRST) AS revenue_rank
+           FROM v_department_performance ORDER BY total_revenue DESC NULLS FIRST, department LIMIT 10"""
+    )
+    by_frames = business.q01_top_departments(views.department_totals(clinic.visits, clinic.doctors))
+    assert rows(by_sql) == rows(by_frames)
+    assert spark.sql("SELECT count(*) FROM mv_doctor_performance").first()[0] == clinic.doctors.count()

@@ -57,12 +57,14 @@ def load_job(spark: SparkSession, clean_dir: str, store: TableStore, run_at: dt.
     store.publish("doctors", files.for_load(scan("doctors", schemas.doctors()), run_at), run_at)
     resources = files.with_total_beds(files.for_load(scan("resources", schemas.resources()), run_at))
     store.publish("resources", resources, run_at)
-    patients = store.publish(
-        "patients", files.for_load(scan("patients", schemas.patients(age=T.DoubleType())), run_at), run_at
-    )
-    for name, schema in [("appointments", schemas.appointments()), ("treatments", schemas.treatments())]:
+    patients = files.for_load(scan("patients", schemas.patients(age=T.DoubleType())), run_at)
+    patients = store.publish("patients", patients, run_at, cluster_by=["registration_date", "patient_id"])
+    for name, schema, order in [
+        ("appointments", schemas.appointments(), ["appointment_date", "appointment_id"]),
+        ("treatments", schemas.treatments(), ["treatment_date", "treatment_id"]),
+    ]:
         known = integrity.with_known(scan(name, schema), patients, "patient_id")
-        store.publish(name, files.for_load(known, run_at), run_at)
+        store.publish(name, files.for_load(known, run_at), run_at, cluster_by=order)
     return files.row_counts({name: store.current(name) for name in TABLES})
 
 

@@ -242,3 +242,25 @@ def _doctor_rows(by_doctor: DataFrame, doctors: DataFrame) -> DataFrame:
 def doctor_totals(visits: DataFrame, doctors: DataFrame) -> DataFrame:
     """``mv_doctor_performance`` without the distinct patients."""
     return _doctor_rows(visits.groupBy("doctor_id").agg(*visit_sums()), doctors).select(_DOCTOR_COLUMNS)
+
+
+def register(
+    patients: DataFrame, doctors: DataFrame, appointments: DataFrame, treatments: DataFrame, resources: DataFrame
+) -> None:
+    """Make tables and views available to SQL under their names. Views stay lazy; the two stored ones are
+    overridden when a ``TableStore`` publishes them."""
+    frames = {
+        "patients": patients,
+        "doctors": doctors,
+        "appointments": appointments,
+        "treatments": treatments,
+        "resources": resources,
+        "v_appointment_detail": v_appointment_detail(appointments, patients, doctors),
+        "v_monthly_kpis": v_monthly_kpis(appointments),
+        "v_department_performance": v_department_performance(appointments, doctors),
+        "v_no_show_risk_features": v_no_show_risk_features(appointments, patients, doctors),
+        "mv_monthly_revenue": mv_monthly_revenue(appointments, treatments, doctors),
+        "mv_doctor_performance": mv_doctor_performance(appointments, doctors),
+    }
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)

@@ -33,7 +33,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder; a cluster session without the setting is an error.
     """
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
