@@ -1,4 +1,7 @@
-"""Data-quality checks: one aggregation pass per table, one report row per check."""
+"""Data-quality checks: one aggregation pass per table, one report row per check.
+
+Check names, columns, severities and details are fixed values of the report.
+"""
 
 from __future__ import annotations
 
