@@ -10,17 +10,20 @@ ONE_TASK_ROWS = 1_000_000
 
 
 def fits_one_task(df: DataFrame, rows: int = ONE_TASK_ROWS) -> bool:
-    """True when a plain window may sort the frame. Pass a bare table scan: its row count comes
-    from the file footers."""
+    """True when a plain window may sort the frame. Meant for stored tables, whose row count comes from
+    the file footers."""
     return df.count() <= rows
 
 
-def running_totals(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
-    """Add ``name = running sum of expression`` in global order, including the current row.
+def running_totals(
+    df: DataFrame, order: list[Column], sums: dict[str, Column], rows: str | None = None
+) -> DataFrame:
+    """Add ``name = running sum of expression`` in global order, including the current row; ``rows`` names
+    a column for the number of all rows.
 
     Rows are range-partitioned by the order, summed inside each range, and shifted by the totals of
-    the ranges before it. ``order`` must tell all rows apart. The ranged rows are materialised,
-    because range bounds are sampled and the two readers must see the same ones.
+    the ranges before it. ``order`` must tell all rows apart. The ranged rows are stored, because
+    range bounds are sampled and the two readers must see the same ones.
     """
     ranged = durable(
         df.select("*", *[e.alias(f"_add_{n}") for n, e in sums.items()])
@@ -28,37 +31,36 @@ def running_totals(df: DataFrame, order: list[Column], sums: dict[str, Column])
         .withColumn("_range", F.spark_partition_id())
     )
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy()
     # one row per range: never more than there are shuffle partitions
-    shifts = ranged.groupBy("_range").agg(*[F.sum(f"_add_{n}").alias(f"_all_{n}") for n in sums]).select(
-        "_range", *[F.coalesce(F.sum(f"_all_{n}").over(before), F.lit(0)).alias(f"_shift_{n}") for n in sums]
+    ranges = ranged.groupBy("_range").agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(f"_add_{n}").alias(f"_all_{n}") for n in sums]
+    )
+    shifts = ranges.select(
+        "_range",
+        F.sum("_rows").over(every).alias("_rows"),
+        *[F.coalesce(F.sum(f"_all_{n}").over(before), F.lit(0)).alias(f"_shift_{n}") for n in sums],
     )
     inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return ranged.join(F.broadcast(shifts), "_range").select(
         *df.columns,
         *[(F.sum(f"_add_{n}").over(inside) + F.col(f"_shift_{n}")).alias(n) for n in sums],
+        *([F.col("_rows").alias(rows)] if rows else []),
     )
 
 
-def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & left[c].eqNullSafe(right[c])
-    return condition
-
-
 def rank_desc(
     df: DataFrame, value: str, out: str, within: str | None = None, dense: bool = False, one_task: bool = True
 ) -> DataFrame:
     """RANK (or DENSE_RANK) by value, highest first and NULL highest of all.
 
     With ``one_task=False`` the values are counted first, which removes ties and hot values, and the
-    positions of the distinct values are then joined back.
+    positions of the distinct values are then joined back. ``df`` is then read twice.
     """
-    function = F.dense_rank() if dense else F.rank()
-    if one_task:
-        window = Window.partitionBy(within) if within else Window.partitionBy()
-        return df.withColumn(out, function.over(window.orderBy(F.desc_nulls_first(value))))
     groups = [within] if within else []
+    if one_task:
+        function = F.dense_rank() if dense else F.rank()
+        return df.withColumn(out, function.over(Window.partitionBy(*groups).orderBy(F.desc_nulls_first(value))))
     values = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
     step = F.lit(1).cast("bigint") if dense else F.col("_n")
     order = [*[F.asc_nulls_first(g) for g in groups], F.desc_nulls_first(value)]
@@ -77,12 +79,10 @@ def ntile(df: DataFrame, tiles: int, order: list[Column], out: str, one_task: bo
     """NTILE over the whole table; ``order`` must tell all rows apart."""
     if one_task:
         return df.withColumn(out, F.ntile(tiles).over(Window.partitionBy().orderBy(*order)))
-    placed = running_totals(df, order, {"_pos": F.lit(1).cast("bigint")})
-    size = placed.agg(F.max("_pos").alias("n")).scalar()
-    short = F.floor(size / tiles)
-    longer = size % tiles
+    placed = running_totals(df, order, {"_pos": F.lit(1).cast("bigint")}, rows="_size")
+    short, longer, position = F.floor(F.col("_size") / tiles), F.col("_size") % tiles, F.col("_pos")
     edge = longer * (short + 1)
-    tile = F.when(F.col("_pos") <= edge, F.ceil(F.col("_pos") / (short + 1))).otherwise(
-        longer + F.ceil((F.col("_pos") - edge) / F.nullif(short, F.lit(0)))
+    tile = F.when(position <= edge, F.ceil(position / (short + 1))).otherwise(
+        longer + F.ceil((position - edge) / F.nullif(short, F.lit(0)))
     )
     return placed.withColumn(out, tile.cast("int")).select(*df.columns, out)
