@@ -336,3 +336,11 @@ def test_views_answer_sql(spark, clinic):
     by_frames = business.q01_top_departments(views.department_totals(clinic.visits, clinic.doctors))
     assert rows(by_sql) == rows(by_frames)
     assert spark.sql("SELECT count(*) FROM mv_doctor_performance").first()[0] == clinic.doctors.count()
+
+
+def test_trigram_similarity(spark):
+    from wardmill.operators import fuzzy
+
+    df = spark.createDataFrame([("two words",), ("WORD",), ("",), (None,), ("xyz",)], "name string")
+    got = fuzzy.search(df, "name", "word", threshold=0.3)
+    assert rows(got) == [("WORD", 1.0), ("two words", 0.363636)]

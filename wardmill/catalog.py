@@ -212,7 +212,7 @@ BUILDERS: dict[str, Callable[[StarClinic], DataFrame]] = {
     "ml_train_rf": _train("Random Forest"),
     "ml_train_gbt": _train("Gradient-boosted trees"),
     # search
-    "fuzzy_doctor_name": lambda c: fuzzy.search(c.doctors, "doctor_name", "supplier 000000042", 0.6).select(
+    "fuzzy_doctor_name": lambda c: fuzzy.search(c.doctors, "doctor_name", "0042").select(
         "doctor_id", "doctor_name", "similarity"
     ),
 }
