@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from conftest import SMALL, rows
 
-from wardmill.operators import ranking
+from wardmill.operators import integrity, ranking
 from wardmill.operators.quantiles import percentile_cont
 from wardmill.plans import business, measures, views
 from wardmill.sources import schemas
@@ -164,12 +164,51 @@ def test_plans_have_no_cross_join_and_scan_the_facts_once(spark):
             df.collect()
             plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
             assert "NestedLoop" not in plan and "Cartesian" not in plan, name
+            assert "EvalPython" not in plan and "InPandas" not in plan, name
             scans = len(re.findall(r"FileScan parquet \[[^\]]*l_orderkey", plan))
             assert scans <= twice.get(name, 1), name
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hot_keys_are_split_by_the_joins(spark, tmp_path):
+    """A patient and a doctor with a third of the appointments: with the skew limits scaled down to this
+    table, the joins on them are split."""
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in limits}
+    patients = spark.range(2000).selectExpr("id AS patient_id", "40 AS age", "'Male' AS gender", "'A' AS city", "DATE '2020-01-01' AS registration_date")
+    doctors = spark.range(200).selectExpr("id AS doctor_id", "'x' AS doctor_name", "'Male' AS gender", "'S' AS specialty", "'D' AS department")
+    visits = spark.range(0, 60000, 1, 8).selectExpr(
+        "id AS appointment_id", "IF(id % 3 = 0, 7, id * 31 % 2000) AS patient_id", "IF(id % 3 = 1, 7, id * 17 % 200) AS doctor_id",
+        "DATE '2021-01-01' AS appointment_date", "'Completed' AS appointment_status", "5 AS waiting_time_minutes",
+        "CAST(id % 977 AS decimal(12,2)) AS appointment_cost",
+    )
+    for name, df in [("p", patients), ("d", doctors), ("v", visits)]:
+        df.write.parquet(str(tmp_path / name))
+    p, d, v = (spark.read.parquet(str(tmp_path / n)) for n in "pdv")
+    try:
+        for k, value in limits.items():
+            spark.conf.set(k, value)
+        detail = views.v_appointment_detail(v, p, d)
+        assert detail.count() == 60000
+        detail.collect()
+        plan = detail._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert len(re.findall(r"SortMergeJoin\(skew=true\)", plan)) == 2
+        kept = integrity.with_known(v, p, "patient_id")
+        kept.collect()
+        plan = kept._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "skew=true" in plan
+    finally:
+        for k, value in before.items():
+            spark.conf.set(k, value)
+
+
 def test_scan_is_pruned_and_filter_pushed(spark, clinic):
     plan = business.q09_top_diagnoses(clinic.treatments)._jdf.queryExecution().executedPlan().toString()
     assert "o_orderdate" not in plan and "o_custkey" not in plan

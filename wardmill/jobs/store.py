@@ -49,7 +49,7 @@ class TableStore:
         return self.current(name)
 
     def current(self, name: str) -> DataFrame:
-        newest = self.manifest.where(F.col("name") == name).orderBy(F.desc("seq")).first()
+        newest = self.manifest.where(F.col("name") == name).orderBy(F.desc("seq"), F.desc("published_at"), "path").first()
         if newest is None:
             raise LookupError(f"nothing published as {name}")
         df = self.spark.read.parquet(newest.path)
