@@ -4,19 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardmill.llm import near_duplicates
-from wardmill.llm.common import table
+from wardmill.llm import near_duplicates, quality_rules, substring_dedup
+from wardmill.llm.common import digest, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_quality_rules(spark: SparkSession, root: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, root, "documents"), table(spark, root, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
+    )
+
+
+def op3_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
+    kept = substring_dedup.without_repeats(table(spark, root, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", digest(F.col("kept_text")).alias("kept_sha256"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, root, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op2_quality_rules": op2_quality_rules,
+    "op3_substring_dedup": op3_substring_dedup,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
 }
 

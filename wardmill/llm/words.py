@@ -71,6 +71,17 @@ def spans(data: np.ndarray, bounds: np.ndarray, separators: np.ndarray) -> tuple
     return start, np.flatnonzero(last) + 1, np.searchsorted(bounds, start, "right") - 1
 
 
+def lines(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every line of every text, empty ones too; a text has one line more than line feeds."""
+    feed = np.flatnonzero(data == 10)
+    row = np.searchsorted(bounds, feed, "right") - 1
+    every = np.arange(len(bounds) - 1)
+    rows = np.concatenate([every, row])
+    start, end = np.concatenate([bounds[:-1], feed + 1]), np.concatenate([bounds[1:], feed])
+    by_start, by_end = np.lexsort((start, rows)), np.lexsort((end, rows))
+    return start[by_start], end[by_end], rows[by_start]
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A hash of the bytes of every span; the spans are in order and do not overlap."""
     out = np.empty(len(start), U64)
