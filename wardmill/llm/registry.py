@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardmill.llm import near_duplicates, quality_rules, substring_dedup
+from wardmill.llm import language_id, near_duplicates, quality_rules, substring_dedup
 from wardmill.llm.common import digest, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,10 +28,17 @@ def op6_minhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, root, "documents"))
 
 
+def op10_language_id(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    predicted = language_id.predict(docs, language_id.learn_from(docs))
+    return predicted.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_substring_dedup": op3_substring_dedup,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {}
