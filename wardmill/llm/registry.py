@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardmill.llm import language_id, near_duplicates, quality_rules, substring_dedup
+from wardmill.llm import byte_bpe, language_id, near_duplicates, quality_rules, substring_dedup
 from wardmill.llm.common import digest, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,24 @@ def op3_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", digest(F.col("kept_text")).alias("kept_sha256"))
 
 
+def tokenizer_path() -> str:
+    """The rank file of the public tokenizer that the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op5_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
+    path = tokenizer_path()
+    coded = byte_bpe.decode(byte_bpe.encode(table(spark, root, "documents"), path), path)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        digest(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
 def op6_minhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, root, "documents"))
 
@@ -37,6 +55,7 @@ def op10_language_id(spark: SparkSession, root: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_substring_dedup": op3_substring_dedup,
+    "op5_byte_bpe": op5_byte_bpe,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op10_language_id": op10_language_id,
 }
