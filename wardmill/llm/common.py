@@ -24,13 +24,3 @@ def id_of(column: str = "doc_id") -> Column:
 def digest(column: Column) -> Column:
     """Lowercase hex SHA-256."""
     return F.sha2(column, 256)
-
-
-def prefixed(columns: list[str], base: str) -> str:
-    """A column name that none of the given columns has."""
-    name, n = base, 0
-    taken = {c.lower() for c in columns}
-    while name.lower() in taken:
-        n += 1
-        name = f"{base}_{n}"
-    return name

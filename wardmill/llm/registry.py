@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardmill.llm import byte_bpe, language_id, near_duplicates, quality_rules, substring_dedup
+from wardmill.llm import byte_bpe, language_id, line_dedup, near_duplicates, quality_rules, substring_dedup
 from wardmill.llm.common import digest, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, root: str) -> DataFrame:
+    kept = line_dedup.without_repeats(table(spark, root, "documents"))
+    return kept.select("row.doc_id", "n_lines", "n_removed", digest(F.col("kept_text")).alias("kept_sha256"))
+
+
 def op2_quality_rules(spark: SparkSession, root: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, root, "documents"), table(spark, root, "labels"))
     return judged.select(
@@ -53,6 +58,7 @@ def op10_language_id(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_byte_bpe": op5_byte_bpe,
@@ -60,4 +66,30 @@ QUERIES: dict[str, Query] = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+OP1_SQL = r"""
+WITH line AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS no
+  FROM documents
+), full_line AS (
+  SELECT doc_id, no, line, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS k
+  FROM line WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), run AS (
+  SELECT doc_id, k, line AS a, lead(line) OVER d AS b, lead(line, 2) OVER d AS c
+  FROM full_line WINDOW d AS (PARTITION BY doc_id ORDER BY k)
+), later AS (
+  SELECT doc_id, k FROM run WHERE c IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, k) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, k + i AS k FROM later, (VALUES (0), (1), (2)) AS v(i)
+), marked AS (
+  SELECT l.doc_id, l.no, l.line, f.k, g.k AS gone
+  FROM line l LEFT JOIN full_line f ON f.doc_id = l.doc_id AND f.no = l.no
+  LEFT JOIN gone g ON g.doc_id = f.doc_id AND g.k = f.k
+)
+SELECT doc_id, count(k) AS n_lines, count(gone) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (gone IS NULL), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL}
