@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardmill.llm import byte_bpe, language_id, line_dedup, near_duplicates, quality_rules, substring_dedup
+from wardmill.llm import byte_bpe, language_id, license_scan, line_dedup, near_duplicates, quality_rules, substring_dedup
 from wardmill.llm.common import digest, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,23 @@ def op6_minhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, root, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, root: str) -> DataFrame:
+    found = license_scan.scan(table(spark, root, "documents"))
+    places = F.col("base.word")
+    labels = F.array_distinct(F.concat("base.label", "detections.label"))
+    sure = F.greatest(F.array_max("detections.confidence"), F.when(F.size("base") > 0, F.lit(0.5)), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct("base.label")), ",").alias("base_labels"),
+        F.array_join(F.array_sort(labels), ",").alias("labels"),
+        sure.alias("score"),
+    )
+
+
 def op10_language_id(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents")
     predicted = language_id.predict(docs, language_id.learn_from(docs))
@@ -63,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_license_scan": op7_license_scan,
     "op10_language_id": op10_language_id,
 }
 
