@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardmill.llm import byte_bpe, language_id, license_scan, line_dedup, near_duplicates, quality_rules, substring_dedup
+from wardmill.llm import byte_bpe, language_id, license_scan, line_dedup, near_duplicates, quality_rules, substring_dedup, warc
 from wardmill.llm.common import digest, table
+from wardmill.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +69,11 @@ def op7_license_scan(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op9_warc(spark: SparkSession, root: str) -> DataFrame:
+    archive = warc.write(table(spark, root, "pages"), scratch_path(spark, "warc"))
+    return warc.read(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_language_id(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents")
     predicted = language_id.predict(docs, language_id.learn_from(docs))
@@ -81,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_license_scan": op7_license_scan,
+    "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
 }
 
