@@ -224,8 +224,8 @@ def _predict(net: Network):
                     k = 0 if p is None else int(p.argmax())
                     name.append(UNKNOWN if p is None else net.languages[k])
                     score.append(0.0 if p is None else min(1.0, float(p[k])))
-                columns = [batch.column("doc_id").slice(lo, hi - lo), pa.array(name), pa.array(score, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score"])
+                columns = [batch.column("row").slice(lo, hi - lo), pa.array(name), pa.array(score, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "lang_pred", "score"])
                 lo = hi
 
     return run
@@ -262,13 +262,14 @@ def learn_from(docs: DataFrame, sample: int = SAMPLE, sample_words: int = SAMPLE
     return train(samples) if samples else None
 
 
-def predict(docs: DataFrame, net: Network | None) -> DataFrame:
-    """(doc_id, lang_pred, score) for every row of ``docs``, from the whole text alone.
+def predict(docs: DataFrame, net: Network | None, through: list[str] | None = None) -> DataFrame:
+    """(row, lang_pred, score) for every row of ``docs``, from the whole text alone; ``row`` holds the columns
+    named in ``through`` (doc_id by default).
 
     A null text, an empty one and one without a letter is ``und`` with score 0, as is every text if there is
-    no network. Repeated rows are labelled each. Columns but doc_id and text are not read.
+    no network. Repeated rows are labelled each. Further columns, whatever their names, are not looked at.
     """
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    if net is None:
-        return given.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    return given.mapInArrow(_predict(net), "doc_id long, lang_pred string, score double")
+    row = F.struct(*[F.col(f"`{c}`") for c in through or ["doc_id"]]).alias("row")
+    given = docs.select(row, F.col("text").cast("string").alias("text"))
+    out = given.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    return out if net is None else given.mapInArrow(_predict(net), out.schema)

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardmill.llm import byte_bpe, language_id, license_scan, line_dedup, near_duplicates, quality_rules, substring_dedup, warc
+from wardmill.llm import (
+    byte_bpe,
+    decontamination,
+    language_id,
+    license_scan,
+    line_dedup,
+    near_duplicates,
+    quality_rules,
+    sharding,
+    substring_dedup,
+    warc,
+)
 from wardmill.llm.common import digest, table
 from wardmill.session import scratch_path
 
@@ -30,6 +41,24 @@ def op3_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", digest(F.col("kept_text")).alias("kept_sha256"))
 
 
+SHARDS = 40
+
+
+def op4_sharding(spark: SparkSession, root: str) -> DataFrame:
+    placed = sharding.shard(table(spark, root, "documents"), SHARDS, scratch_path(spark, "shard-map"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "vslot",
+        "map_version",
+    )
+
+
 def tokenizer_path() -> str:
     """The rank file of the public tokenizer that the queries use."""
     import public_tokenizers
@@ -37,9 +66,7 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def op5_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
-    path = tokenizer_path()
-    coded = byte_bpe.decode(byte_bpe.encode(table(spark, root, "documents"), path), path)
+def op5_digest(coded: DataFrame) -> DataFrame:
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -48,6 +75,11 @@ def op5_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op5_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
+    path = tokenizer_path()
+    return op5_digest(byte_bpe.decode(byte_bpe.encode(table(spark, root, "documents"), path), path))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, root, "documents"))
 
@@ -69,6 +101,18 @@ def op7_license_scan(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, root, "documents"), table(spark, root, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        digest(F.array_join("items", ",")).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op9_warc(spark: SparkSession, root: str) -> DataFrame:
     archive = warc.write(table(spark, root, "pages"), scratch_path(spark, "warc"))
     return warc.read(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -77,16 +121,18 @@ def op9_warc(spark: SparkSession, root: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents")
     predicted = language_id.predict(docs, language_id.learn_from(docs))
-    return predicted.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+    return predicted.select("row.doc_id", language_id.held_out("row.doc_id").alias("held_out"), "lang_pred", "score")
 
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_sharding": op4_sharding,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_license_scan": op7_license_scan,
+    "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
 }
