@@ -21,14 +21,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from wardmill.llm.words import lists, span_hashes
+from wardmill.llm.words import lists, slices, span_hashes
 
 #: Matches longer than this are merged alone.
 LONG = 256
 #: Matches whose ids a task keeps; beyond that it starts anew.
-KEEP = 500_000
-#: Characters that are cut and encoded together.
-PART = 1 << 22
+KEEP = 200_000
+#: Bytes of text that are cut and encoded together.
+PART = 1 << 20
 
 
 class RankQueue:
@@ -280,11 +280,13 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 def _classes() -> np.ndarray:
     """0 other, 1 letter, 2 number, 3 white space, for every code point."""
     out = np.zeros(0x110000, np.uint8)
-    every = "".join(map(chr, [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]))
-    for kind, expression in ((1, r"\p{L}+"), (2, r"\p{N}+"), (3, r"\s+")):
-        for m in regex.finditer(expression, every):
-            shift = [0x800 if p >= 0xD800 else 0 for p in m.span()]
-            out[m.start() + shift[0] : m.end() + (0x800 if m.end() > 0xD800 else 0)] = kind
+    for at in range(0, 0x110000, 0x800):
+        if at == 0xD800:  # no characters
+            continue
+        part = "".join(map(chr, range(at, at + 0x800)))
+        for kind, expression in ((1, r"\p{L}+"), (2, r"\p{N}+"), (3, r"\s+")):
+            for m in regex.finditer(expression, part):
+                out[at + m.start() : at + m.end()] = kind
     return out
 
 
@@ -350,52 +352,48 @@ def cut_by(pattern: str):
     return cut
 
 
-def _encode(path: str, pattern: str):
+def _encode(path: str, pattern: str, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(path, pattern)
+        encoder, names = _Encoder(path, pattern), ["doc_id", "ids", *["decoded"] * decoded]
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            lo = 0
-            while lo < len(texts):
-                hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size + len(texts[hi] or "") <= PART):
-                    size += len(texts[hi] or "")
-                    hi += 1
-                ids, number = encoder.texts([t or "" for t in texts[lo:hi]])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), lists(ids, number)], names=["doc_id", "ids"]
-                )
-                lo = hi
+            for lo, hi, _, _ in slices(batch.column("text"), PART):
+                ids, number = encoder.texts([t or "" for t in batch.column("text").slice(lo, hi - lo).to_pylist()])
+                out = [batch.column("doc_id").slice(lo, hi - lo), lists(ids, number)]
+                if decoded:
+                    out.append(_bytes(encoder.vocabulary, out[1]))
+                yield pa.RecordBatch.from_arrays(out, names=names)
 
     return run
 
 
+def _bytes(known: Vocabulary, ids: pa.ListArray) -> pa.Array:
+    """The bytes that each list of ids stands for."""
+    bounds = (np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]).tolist()
+    flat, token = ids.values.to_numpy(zero_copy_only=False), known.bytes_of
+    return pa.array([b"".join(map(token.__getitem__, flat[a:b].tolist())) for a, b in zip(bounds, bounds[1:])], pa.binary())
+
+
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = vocabulary(path).bytes_of
         for batch in batches:
-            ids = batch.column("ids")
-            for lo in range(0, len(ids), 256):
-                part = ids.slice(lo, 256)
-                bounds = (np.frombuffer(part.buffers()[1], np.int32)[part.offset : part.offset + len(part) + 1]).tolist()
-                flat = part.values.to_numpy(zero_copy_only=False)
-                out = [
-                    b"".join(map(token.__getitem__, flat[a:b].tolist())) for a, b in zip(bounds, bounds[1:])
-                ]
-                kept = [batch.column("doc_id").slice(lo, 256), part, pa.array(out, pa.binary())]
-                yield pa.RecordBatch.from_arrays(kept, names=["doc_id", "ids", "decoded"])
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                found = _bytes(vocabulary(path), part.column("ids"))
+                yield pa.RecordBatch.from_arrays([*part.columns, found], names=["doc_id", "ids", "decoded"])
 
     return run
 
 
-def encode(docs: DataFrame, path: str, pattern: str = PATTERN) -> DataFrame:
-    """(doc_id, ids) for every row of ``docs``: the ids of its whole text, without special tokens.
+def encode(docs: DataFrame, path: str, pattern: str = PATTERN, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids) for every row of ``docs``: the ids of its whole text, without special tokens. With
+    ``decoded`` the bytes that those ids stand for as well, decoded by the same task.
 
     A null text is empty and has no ids. Repeated rows are encoded each; columns but doc_id and text are not
     read. ``path`` must be readable where tasks run.
     """
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.mapInArrow(_encode(path, pattern), "doc_id long, ids array<int>")
+    schema = "doc_id long, ids array<int>" + ", decoded binary" * decoded
+    return given.mapInArrow(_encode(path, pattern, decoded), schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

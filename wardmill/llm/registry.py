@@ -76,8 +76,7 @@ def op5_digest(coded: DataFrame) -> DataFrame:
 
 
 def op5_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
-    path = tokenizer_path()
-    return op5_digest(byte_bpe.decode(byte_bpe.encode(table(spark, root, "documents"), path), path))
+    return op5_digest(byte_bpe.encode(table(spark, root, "documents"), tokenizer_path(), decoded=True))
 
 
 def op6_minhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes handled at once by the steps that need several machine words per byte.
-PIECE = 1 << 21
+PIECE = 1 << 18
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
@@ -41,7 +41,7 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def slices(column: pa.Array, most: int = 2 * PIECE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, most: int = 1 << 22) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Rows lo..hi of a text column with their bytes and the bounds of each row in them. A slice holds at
     most ``most`` bytes unless it is a single text. A null text is empty."""
     if len(column) == 0:
