@@ -47,8 +47,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number and digests of the token ids and of the text that they decode to."""
-    path = tokenizer_path()
-    return op5_digest(byte_bpe.decode(byte_bpe.encode(docs, path), path))
+    return op5_digest(byte_bpe.encode(docs, tokenizer_path(), decoded=True))
 
 
 STAGES: list[tuple[str, Stage]] = [
