@@ -15,7 +15,7 @@ _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 _LINE = 65521
 _POWER = np.cumprod(np.full(_LINE, 0x9E3779B97F4A7C15, dtype=U64))
-_STRIDE = np.cumprod(np.full(4096, 0xC2B2AE3D27D4EB4F, dtype=U64))
+_STRIDE = np.append(U64(1), np.cumprod(np.full(4095, 0xC2B2AE3D27D4EB4F, dtype=U64)))
 _STEP = U64(0x9FB21C651E98DF25)
 
 LOWER = np.arange(256, dtype=np.uint8)
