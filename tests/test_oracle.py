@@ -19,7 +19,8 @@ def con():
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"ml_train_rf", "ml_train_gbt"}
+    without = {n for n in set(QUERIES) - set(ORACLE) if n != "pipeline" and not n.startswith("op")}
+    assert without == {"ml_train_rf", "ml_train_gbt"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

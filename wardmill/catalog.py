@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from wardmill.operators import cleaning, constraints, fuzzy, integrity, quality, ranking
+from wardmill.operators import cleaning, constraints, fuzzy, integrity, quality
 from wardmill.plans import business, measures, model, reports, views, visuals
 from wardmill.session import durable, scratch_path
 from wardmill.sources import files, schemas
@@ -39,10 +39,6 @@ def _doctor_totals(c: StarClinic) -> DataFrame:
     return views.doctor_totals(c.visits, c.doctors)
 
 
-def _doctors_fit_one_task(c: StarClinic) -> bool:
-    return ranking.fits_one_task(c.doctor_scan)
-
-
 def _exec_kpis(c: StarClinic) -> DataFrame:
     return reports.sheet_exec_kpis(c.appointments, AS_OF)
 
@@ -147,7 +143,7 @@ BUILDERS: dict[str, Callable[[StarClinic], DataFrame]] = {
     "q01_top_departments": lambda c: business.q01_top_departments(_department_totals(c)),
     "q02_patient_growth": lambda c: business.q02_patient_growth(c.patients),
     "q03_noshow_dept_weekday": lambda c: business.q03_noshow_dept_weekday(c.visits, c.doctors),
-    "q04_doctor_ranking": lambda c: business.q04_doctor_ranking(_doctor_totals(c), _doctors_fit_one_task(c)),
+    "q04_doctor_ranking": lambda c: business.q04_doctor_ranking(_doctor_totals(c)),
     "q05_rolling_3m": lambda c: business.q05_rolling_3m(_monthly_revenue(c)),
     "q06_retention_cohort": lambda c: business.q06_retention_cohort(c.patients, c.appointments),
     "q07_wait_trend": lambda c: business.q07_wait_trend(c.visits),
@@ -182,7 +178,7 @@ BUILDERS: dict[str, Callable[[StarClinic], DataFrame]] = {
     "dax_rolling_3m": lambda c: measures.dax_rolling_3m(c.visits),
     "dax_resources": lambda c: measures.dax_resources(c.resources),
     "dax_lost_revenue": lambda c: measures.dax_lost_revenue(c.visits),
-    "dax_doctor_rank": lambda c: measures.dax_doctor_rank(_doctor_totals(c), _doctors_fit_one_task(c)),
+    "dax_doctor_rank": lambda c: measures.dax_doctor_rank(_doctor_totals(c)),
     "dim_calendar": lambda c: measures.dim_calendar(
         [
             (c.patients, "registration_date"),

@@ -6,15 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardmill.session import durable
 
-ONE_TASK_ROWS = 1_000_000
-
-
-def fits_one_task(df: DataFrame, rows: int = ONE_TASK_ROWS) -> bool:
-    """True when a plain window may sort the frame. Meant for stored tables, whose row count comes from
-    the file footers."""
-    return df.count() <= rows
-
-
 def running_totals(
     df: DataFrame, order: list[Column], sums: dict[str, Column], rows: str | None = None
 ) -> DataFrame:
@@ -49,18 +40,13 @@ def running_totals(
     )
 
 
-def rank_desc(
-    df: DataFrame, value: str, out: str, within: str | None = None, dense: bool = False, one_task: bool = True
-) -> DataFrame:
+def rank_desc(df: DataFrame, value: str, out: str, within: str | None = None, dense: bool = False) -> DataFrame:
     """RANK (or DENSE_RANK) by value, highest first and NULL highest of all.
 
-    With ``one_task=False`` the values are counted first, which removes ties and hot values, and the
-    positions of the distinct values are then joined back. ``df`` is then read twice.
+    The values are counted first, which removes ties and hot values, and the positions of the distinct
+    values are then joined back. ``df`` is read twice.
     """
     groups = [within] if within else []
-    if one_task:
-        function = F.dense_rank() if dense else F.rank()
-        return df.withColumn(out, function.over(Window.partitionBy(*groups).orderBy(F.desc_nulls_first(value))))
     values = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
     step = F.lit(1).cast("bigint") if dense else F.col("_n")
     order = [*[F.asc_nulls_first(g) for g in groups], F.desc_nulls_first(value)]
@@ -75,10 +61,8 @@ def rank_desc(
     return df.join(ranks, condition).select(*df.columns, out)
 
 
-def ntile(df: DataFrame, tiles: int, order: list[Column], out: str, one_task: bool = True) -> DataFrame:
+def ntile(df: DataFrame, tiles: int, order: list[Column], out: str) -> DataFrame:
     """NTILE over the whole table; ``order`` must tell all rows apart."""
-    if one_task:
-        return df.withColumn(out, F.ntile(tiles).over(Window.partitionBy().orderBy(*order)))
     placed = running_totals(df, order, {"_pos": F.lit(1).cast("bigint")}, rows="_size")
     short, longer, position = F.floor(F.col("_size") / tiles), F.col("_size") % tiles, F.col("_pos")
     edge = longer * (short + 1)

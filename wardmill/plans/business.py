@@ -58,21 +58,17 @@ def q03_noshow_dept_weekday(visits: DataFrame, doctors: DataFrame) -> DataFrame:
     )
 
 
-def q04_doctor_ranking(doctor_performance: DataFrame, one_task: bool | None = None) -> DataFrame:
-    """Revenue rank inside the department and quartile of the no-show rate. Without ``one_task`` the
-    (stored) input is counted to choose the form of the ranks."""
+def q04_doctor_ranking(doctor_performance: DataFrame) -> DataFrame:
+    """Revenue rank inside the department and quartile of the no-show rate. The doctors are stored once, as
+    the ranks read them twice."""
     columns = [
         "doctor_id", "doctor_name", "department", "total_appointments", "no_show_rate_pct", "total_revenue",
         "avg_wait_minutes",
     ]
-    df = doctor_performance.select(columns)
-    if one_task is None:
-        one_task = ranking.fits_one_task(df)
-    if not one_task:
-        df = ranking.durable(df)
-    df = ranking.rank_desc(df, "total_revenue", "dept_revenue_rank", within="department", one_task=one_task)
+    df = ranking.durable(doctor_performance.select(columns))
+    df = ranking.rank_desc(df, "total_revenue", "dept_revenue_rank", within="department")
     by_rate = [F.asc_nulls_last("no_show_rate_pct"), F.asc("doctor_id")]
-    df = ranking.ntile(df, 4, by_rate, "no_show_quartile", one_task=one_task)
+    df = ranking.ntile(df, 4, by_rate, "no_show_quartile")
     return df.orderBy(F.desc_nulls_first("total_revenue"), "doctor_id").drop("doctor_id")
 
 

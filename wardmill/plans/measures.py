@@ -150,15 +150,11 @@ def dax_lost_revenue(visits: DataFrame) -> DataFrame:
     )
 
 
-def dax_doctor_rank(doctor_totals: DataFrame, one_task: bool | None = None) -> DataFrame:
-    """Dense rank over all doctors; a doctor without revenue counts as 0. ``one_task`` as in Q04."""
+def dax_doctor_rank(doctor_totals: DataFrame) -> DataFrame:
+    """Dense rank over all doctors; a doctor without revenue counts as 0."""
     revenue = F.coalesce("total_revenue", F.lit(0).cast(MONEY_SUM)).alias("total_revenue")
-    df = doctor_totals.select("doctor_id", "doctor_name", revenue)
-    if one_task is None:
-        one_task = ranking.fits_one_task(df)
-    if not one_task:
-        df = ranking.durable(df)
-    return ranking.rank_desc(df, "total_revenue", "revenue_rank", dense=True, one_task=one_task)
+    df = ranking.durable(doctor_totals.select("doctor_id", "doctor_name", revenue))
+    return ranking.rank_desc(df, "total_revenue", "revenue_rank", dense=True)
 
 
 def dim_calendar(dates: list[tuple[DataFrame, str]]) -> DataFrame:

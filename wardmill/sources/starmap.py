@@ -79,11 +79,6 @@ class StarClinic:
             "department",
         )
 
-    @property
-    def doctor_scan(self) -> DataFrame:
-        """The bare scan behind ``doctors``, for a row count from the file footers."""
-        return self._read("supplier")
-
     @cached_property
     def _lines(self) -> DataFrame:
         returned, closed = F.col("l_returnflag") == "R", F.col("l_linestatus") == "F"
