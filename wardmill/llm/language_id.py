@@ -17,15 +17,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wardmill.llm.words import slices
+
 UNKNOWN = "und"
 CUT = 32
 HIDDEN = 16
 #: Labelled documents of each language that are read for training, and words of each.
 SAMPLE, SAMPLE_WORDS = 500, 60
 #: Runs whose labels a task keeps; beyond that it starts anew.
-KEEP = 400_000
+KEEP = 150_000
 #: Bytes of text whose distinct runs are labelled together.
-PART = 1 << 22
+PART = 1 << 20
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -207,16 +209,11 @@ def _predict(net: Network):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool = _Pool(net)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            lo = 0
-            while lo < len(texts):
-                counted, size, hi = [], 0, lo
-                while hi < len(texts) and (hi == lo or size + len(texts[hi] or "") <= PART):
-                    text = texts[hi] or ""
-                    size += len(text)
-                    lettered = any(map(str.isalpha, text))
+            for lo, hi, _, _ in slices(batch.column("text"), PART):
+                counted = []
+                for text in batch.column("text").slice(lo, hi - lo).to_pylist():
+                    lettered = any(map(str.isalpha, text or ""))
                     counted.append(Counter(_runs(text.encode())) if lettered else None)
-                    hi += 1
                 pool.learn({run for found in counted if found for run in found})
                 name, score = [], []
                 for found in counted:
@@ -226,7 +223,6 @@ def _predict(net: Network):
                     score.append(0.0 if p is None else min(1.0, float(p[k])))
                 columns = [batch.column("row").slice(lo, hi - lo), pa.array(name), pa.array(score, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "lang_pred", "score"])
-                lo = hi
 
     return run
 
