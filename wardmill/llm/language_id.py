@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardmill.llm.words import slices
+from wardmill.llm.words import frugal, slices
 
 UNKNOWN = "und"
 CUT = 32
@@ -268,4 +268,4 @@ def predict(docs: DataFrame, net: Network | None, through: list[str] | None = No
     row = F.struct(*[F.col(f"`{c}`") for c in through or ["doc_id"]]).alias("row")
     given = docs.select(row, F.col("text").cast("string").alias("text"))
     out = given.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    return out if net is None else given.mapInArrow(_predict(net), out.schema)
+    return out if net is None else given.mapInArrow(frugal(_predict(net)), out.schema)

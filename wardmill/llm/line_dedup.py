@@ -71,7 +71,7 @@ def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     the runs that occur earlier. ``id`` and ``th`` are the id and the hash of the text of a row."""
     given = docs.select(id_of().alias("id"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
     prints = given.where(F.col("text").isNotNull()).mapInArrow(
-        _fingerprints(run), "id long, th long, at int, print long, before int, around array<long>"
+        words.frugal(_fingerprints(run)), "id long, th long, at int, print long, before int, around array<long>"
     )
     prints = stored(prints)
     place = F.struct("id", "th", "at")
@@ -149,4 +149,4 @@ def without_repeats(docs: DataFrame, run: int = RUN) -> DataFrame:
     schema = joined.select(
         "row", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"), F.lit("").alias("kept_text")
     ).schema
-    return joined.mapInArrow(_deleted(run), schema)
+    return joined.mapInArrow(words.frugal(_deleted(run)), schema)

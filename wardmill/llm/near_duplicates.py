@@ -73,6 +73,7 @@ def collection_keys(keys: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return out
 
 
+@words.frugal
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, data, bounds in words.slices(batch.column("text")):
@@ -97,6 +98,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+@words.frugal
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, data, bounds in words.slices(batch.column("text")):

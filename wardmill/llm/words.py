@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 #: Bytes handled at once by the steps that need several machine words per byte.
 PIECE = 1 << 18
 
@@ -27,6 +30,30 @@ PUNCTUATION = np.zeros(256, bool)
 PUNCTUATION[0:0x30] = PUNCTUATION[0x3A:0x61] = PUNCTUATION[0x7B:0x80] = True
 
 
+def frugal(task: Task) -> Task:
+    """The same task over Arrow batches, giving freed memory back to the system while it runs and at its end:
+    the worker's process lives on and would hold it through later stages."""
+
+    @functools.wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for k, out in enumerate(task(batches), 1):
+                yield out
+                if k % 8 == 0:
+                    _give_back()
+        finally:
+            _give_back()
+
+    return run
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only in the GNU C library
+    if trim:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit hashes."""
     x = x ^ (x >> U64(30))
