@@ -15,7 +15,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wardmill.llm.words import frugal, slices
 
@@ -205,13 +206,14 @@ class _Pool:
         return total / total.sum()
 
 
-def _predict(net: Network):
+def _predict(net: Network, inside: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool = _Pool(net)
         for batch in batches:
-            for lo, hi, _, _ in slices(batch.column("text"), PART):
+            texts = batch.column("text") if inside is None else pc.struct_field(batch.column("row"), [inside])
+            for lo, hi, _, _ in slices(texts, PART):
                 counted = []
-                for text in batch.column("text").slice(lo, hi - lo).to_pylist():
+                for text in texts.slice(lo, hi - lo).to_pylist():
                     lettered = any(map(str.isalpha, text or ""))
                     counted.append(Counter(_runs(text.encode())) if lettered else None)
                 pool.learn({run for found in counted if found for run in found})
@@ -265,7 +267,10 @@ def predict(docs: DataFrame, net: Network | None, through: list[str] | None = No
     A null text, an empty one and one without a letter is ``und`` with score 0, as is every text if there is
     no network. Repeated rows are labelled each. Further columns, whatever their names, are not looked at.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in through or ["doc_id"]]).alias("row")
-    given = docs.select(row, F.col("text").cast("string").alias("text"))
+    names = through or ["doc_id"]
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    # A text that passes through is sent to the tasks once.
+    inside = next((k for k, c in enumerate(names) if c.lower() == "text" and docs.schema[c].dataType == T.StringType()), None)
+    given = docs.select(row, *[F.col("text").cast("string").alias("text")] * (inside is None))
     out = given.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    return out if net is None else given.mapInArrow(frugal(_predict(net)), out.schema)
+    return out if net is None else given.mapInArrow(frugal(_predict(net, inside)), out.schema)
