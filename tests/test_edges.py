@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import types as T
+
 from conftest import day, rows
 
 from wardmill.operators import cleaning, constraints, integrity, quality
@@ -327,6 +329,33 @@ def test_bad_csv_values_become_null(spark, tmp_path):
     assert rows(got) == [("P1", None, "Male", "A", day("2021-01-01")), ("P2", 5, None, "B", None)]
 
 
+def test_csv_dates_with_a_time_and_whole_numbers_with_a_fraction(spark, tmp_path):
+    (tmp_path / "p.csv").write_text(
+        "patient_id,age,gender,city,registration_date\n"
+        "P1,23.0,Male,A,2021-05-03 00:00:00.000000\nP2,23.5,Male,A,2021-05-03T10:11:12\nP3,7,Male,A,2021-05-03 x\n"
+    )
+    got = files.scan_csv(spark, str(tmp_path / "p.csv"), schemas.patients())
+    assert [(r[1], r[4]) for r in got.orderBy("patient_id").collect()] == [
+        (23, day("2021-05-03")), (None, day("2021-05-03")), (7, None)
+    ]
+
+
+def test_first_row_of_the_file_is_kept(spark, tmp_path):
+    (tmp_path / "p.csv").write_text(
+        "patient_id,age,gender,city,registration_date\nP1,50,Male,A,2021-01-01\nP2,30,Male,B,2021-01-01\n"
+        "P1,20,,A,2021-01-01\nP3,40,,B,2021-01-01\nP3,40,Male,B,2021-01-01\n"
+    )
+    got = files.scan_csv(spark, str(tmp_path / "p.csv"), schemas.patients(age=T.StringType()), position="seq")
+    kept = cleaning.clean_patients(got, ["seq"]).drop("seq")
+    assert [(r[0], r[1]) for r in kept.orderBy("patient_id").collect()] == [("P1", 50.0), ("P2", 30.0)]
+    (tmp_path / "a.csv").write_text(
+        "appointment_id,patient_id,doctor_id,appointment_date,appointment_status,waiting_time_minutes,appointment_cost\n"
+        "A1,P1,D1,2021-01-01,Completed,5.0,10.00\nA1,,D1,2021-01-01,Completed,5,10.00\n"
+    )
+    got = files.scan_csv(spark, str(tmp_path / "a.csv"), schemas.appointments(), position="seq")
+    assert [tuple(r)[:2] for r in cleaning.clean_appointments(got, ["seq"]).drop("seq").collect()] == [("A1", "P1")]
+
+
 def test_views_answer_sql(spark, clinic):
     views.register(clinic.patients, clinic.doctors, clinic.appointments, clinic.treatments, clinic.resources)
     by_sql = spark.sql(

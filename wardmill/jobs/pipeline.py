@@ -17,6 +17,7 @@ from wardmill.session import durable
 from wardmill.sources import files, schemas
 
 TABLES = ["patients", "doctors", "appointments", "treatments", "resources"]
+POSITION = "ingest_seq"
 
 
 def export_raw(tables: dict[str, DataFrame], raw_dir: str) -> None:
@@ -30,19 +31,27 @@ def quality_job(
 ) -> DataFrame:
     """Check the raw files, write report and summary, clean the tables. Returns the report.
 
-    Raw ages are read as text, so that a value that is no number is told apart from a missing one.
+    Raw ages are read as text, so that a value that is no number is told apart from a missing one. Of rows with
+    one key the first of the file is kept.
     """
-    patients = files.scan_csv(spark, f"{raw_dir}/patients", schemas.patients(age=T.StringType()))
-    appointments = files.scan_csv(spark, f"{raw_dir}/appointments", schemas.appointments())
-    treatments = files.scan_csv(spark, f"{raw_dir}/treatments", schemas.treatments())
+    def scan(name: str, schema: T.StructType) -> DataFrame:
+        return files.scan_csv(spark, f"{raw_dir}/{name}", schema, position=POSITION)
+
+    patients = scan("patients", schemas.patients(age=T.StringType()))
+    appointments = scan("appointments", schemas.appointments())
+    treatments = scan("treatments", schemas.treatments())
 
-    report = durable(quality.quality_report(patients, appointments, treatments, as_of, run_at))
+    report = durable(quality.quality_report(*[t.drop(POSITION) for t in (patients, appointments, treatments)], as_of, run_at))
     files.write_csv(report, f"{report_dir}/quality_report")
     files.write_csv(quality.severity_summary(report), f"{report_dir}/quality_summary")
 
-    files.write_csv(cleaning.clean_patients(patients), f"{clean_dir}/patients")
-    files.write_csv(cleaning.clean_appointments(appointments), f"{clean_dir}/appointments")
-    files.write_csv(cleaning.clean_treatments(treatments, as_of), f"{clean_dir}/treatments")
+    clean = {
+        "patients": cleaning.clean_patients(patients, [POSITION]),
+        "appointments": cleaning.clean_appointments(appointments, [POSITION]),
+        "treatments": cleaning.clean_treatments(treatments, as_of, [POSITION]),
+    }
+    for name, df in clean.items():
+        files.write_csv(df.drop(POSITION), f"{clean_dir}/{name}")
     files.write_csv(files.scan_csv(spark, f"{raw_dir}/doctors", schemas.doctors()), f"{clean_dir}/doctors")
     files.write_csv(files.scan_csv(spark, f"{raw_dir}/resources", schemas.resources()), f"{clean_dir}/resources")
     return report

@@ -10,8 +10,8 @@ def keep_first(df: DataFrame, keys: list[str], order_by: list[str] | None = None
     a column for the number of rows the key had.
 
     The row is the minimum of a struct, which Spark aggregates inside every input partition before
-    the shuffle: a key that holds a large part of the table sends one row per task. A window would
-    sort by the order columns as well.
+    the shuffle: a key that holds a large part of the table sends one row per task. Rows that come from
+    files and are to be kept in file order need the scan's ``position`` as ``order_by``.
     """
     order_by = order_by or []
     rest = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]

@@ -2,14 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+
+def _parsed(field: T.StructField, date_format: str) -> Column:
+    """The text of a field as its type. A date may have a time of day, which is left out; a whole number may be
+    written with a fraction of zeros."""
+    text, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, (T.DateType, T.TimestampType)):
+        forms = [f"{date_format}[ HH:mm:ss[.SSSSSS]]", f"{date_format}'T'HH:mm:ss[.SSSSSS]"]
+        return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in forms]).cast(kind)
+    typed = text.try_cast(kind)
+    if isinstance(kind, T.IntegralType):
+        number = text.try_cast("decimal(38,6)")
+        typed = F.coalesce(typed, F.when(number == F.floor(number), number).try_cast(kind))
+    return typed
 
 
 def scan_csv(
-    spark: SparkSession, path: str, schema: T.StructType, date_format: str = "yyyy-MM-dd"
+    spark: SparkSession, path: str, schema: T.StructType, date_format: str = "yyyy-MM-dd", position: str | None = None
 ) -> DataFrame:
-    """Typed CSV scan: values that do not parse become NULL, and no pass is spent on inference."""
-    return spark.read.schema(schema).csv(path, header=True, mode="PERMISSIVE", dateFormat=date_format)
+    """Typed CSV scan: values that do not parse become NULL, and no pass is spent on inference. ``position``
+    names a column for the place of a row: file, block of the file, row in the block."""
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    read = spark.read.schema(as_text).csv(path, header=True, mode="PERMISSIVE")
+    columns = [_parsed(f, date_format).alias(f.name) for f in schema.fields]
+    if position:
+        place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+        columns.append(place.alias(position))
+    return read.select(*columns)
 
 
 def write_csv(df: DataFrame, path: str) -> str:
