@@ -198,6 +198,50 @@ def test_near_duplicates(odd, nothing):
     assert near_duplicates.near_duplicates(nothing).count() == 0
 
 
+def test_near_duplicates_through_a_hub_with_a_middle_id(spark):
+    import random
+
+    rnd = random.Random(3)
+    hub = [f"w{k}" for k in range(300)]
+    rows = []
+    for d in range(500):
+        text = list(hub)
+        for at in rnd.sample(range(0, 300, 6), 0 if d == 250 else rnd.choice([7, 8])):
+            text[at] = f"c{d}x{at}"
+        rows.append((d, " ".join(text)))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(296)} for _, t in rows]
+    assert all(100 * len(s & sets[250]) >= 75 * len(s | sets[250]) for s in sets)
+    out = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["component_id"], r["kept"]) for r in out if r["doc_id"]} == {(0, False)}
+
+
+def test_candidates_across_components_are_all_that_can_be_links(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(2)
+    base = rnd.integers(1, 2**62, 400)
+    sets = [np.unique(np.concatenate([rnd.choice(base, rnd.integers(250, 400), replace=False), rnd.integers(1, 2**62, 20)])) for _ in range(60)]
+    lists = pa.array(sets, pa.list_(pa.int64()))
+    made = pa.Table.from_batches(near_duplicates._sketches(iter([pa.record_batch([pa.array(range(60)), lists], names=["node", "shingles"])])))
+    # One bucket of two blocks and another of one, in batches that cut groups.
+    rows = [(1, i, j, -1 if i == j else d % 2, d) for i, j in ((0, 0), (0, 1), (1, 1)) for d in range(60) if d % 2 in (i, j)]
+    rows += [(2, 0, 0, -1, d) for d in range(0, 60, 3)]
+    columns = [list(c) for c in zip(*rows)]
+    at = columns[4]
+    table = pa.table(
+        [*columns, [d % 7 for d in at], made["n"].take(pa.array(at)), made["sketch"].take(pa.array(at))],
+        names=["bucket", "i", "j", "side", "node", "component", "n", "sketch"],
+    )
+    monkeypatch.setattr(near_duplicates, "PAIRS", 50)
+    out = [near_duplicates._compared(iter(table.to_batches(max_chunksize=k))) for k in (17, 1000)]
+    found = [{p for b in batches for p in zip(b["a"].to_pylist(), b["b"].to_pylist())} for batches in out]
+    held = [set(s.tolist()) for s in sets]
+    links = {(a, b) for a in range(60) for b in range(a + 1, 60) if a % 7 != b % 7 and 100 * len(held[a] & held[b]) >= 75 * len(held[a] | held[b])}
+    every = {(a, b) for a in range(60) for b in range(a + 1, 60) if a % 7 != b % 7}
+    assert links and links <= found[0] == found[1] < every
+
+
 def test_license_scan(odd, nothing):
     expected = []
     for d, t in given_rows(odd):

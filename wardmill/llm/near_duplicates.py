@@ -9,13 +9,14 @@ A pair at the threshold shares no table with probability ``2 * (1 - 0.75**ROWS)*
 A key of either collection that a single set holds can make no shared table, so it is dropped before the
 keys are paired. A bucket never becomes all its pairs: its members are compared with its smallest and its
 largest member, each first with the one it meets most often; pairs that are then in one component need no
-further comparison. A link can be missed that way only if in all the buckets its two sets share - some 57
-of 324 at the threshold - both meet smaller and larger sets that they are not linked to, which takes a
-third text that agrees with them in every one of those keys. Every link is confirmed on the full sets.
+further comparison. Members that a bucket still holds in different components are all compared with each
+other, in blocks of ``BLOCK`` by ``BLOCK`` that tasks share out: first by size and by a sketch that bounds
+the difference of two sets from below, so that no link fails them. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,10 @@ from wardmill.llm.components import components
 SHINGLE = 5
 PERCENT = 75
 SIDE, ROWS = 18, 3
+#: Members of a bucket that are compared with as many others at once, and such pairs looked at together.
+BLOCK, PAIRS = 1024, 1 << 17
+#: 64-bit words of a sketch.
+SKETCH = 16
 _U = np.uint64
 _rng = np.random.default_rng(75)
 _FACTOR = (_rng.integers(1, 2**62, 2 * SIDE * ROWS, dtype=np.int64).astype(_U) << _U(1)) | _U(1)
@@ -109,6 +114,74 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+@words.frugal
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size and sketch of every set: for each class of shingles whether their number is odd. Two sets differ
+    in at least one shingle of a class that is odd in one of them only."""
+    classes = 64 * SKETCH
+    for batch in batches:
+        held = batch.column("shingles")
+        size = held.value_lengths().to_numpy()
+        kind = (words.mix(held.flatten().to_numpy().view(_U)) % _U(classes)).astype(np.int64)
+        step = max(1, PAIRS // classes)
+        end = np.cumsum(size)
+        odd = []
+        for lo in range(0, len(size), step):
+            some = size[lo : lo + step]
+            owner = np.repeat(np.arange(len(some)), some)
+            place = owner * classes + kind[end[lo] - size[lo] : end[lo] - size[lo] + len(owner)]
+            odd.append(np.packbits(np.bincount(place, minlength=len(some) * classes) & 1 == 1).reshape(-1, classes // 8))
+        sketch = np.concatenate(odd) if odd else np.empty((0, classes // 8), np.uint8)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), pa.array(size.astype(np.int64)), pa.array([x.tobytes() for x in sketch], pa.binary())],
+            names=["node", "n", "sketch"],
+        )
+
+
+def _possible(group: np.ndarray, side: np.ndarray, node: np.ndarray, part: np.ndarray, n: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """The pairs of nodes (2, any) that meet in a group, lie in different components and may be links."""
+    past = np.searchsorted(group, group, "right")
+    ahead = past - np.arange(len(group)) - 1
+    total = np.concatenate([[0], np.cumsum(ahead)])
+    out = []
+    lo = 0
+    while lo < len(group):
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + PAIRS, "right")) - 1)
+        a = np.repeat(np.arange(lo, hi), ahead[lo:hi])
+        b = np.arange(len(a)) - np.repeat(total[lo:hi] - total[lo], ahead[lo:hi]) + a + 1
+        # Blocks of one bucket meet across; the pairs inside a block are compared where it meets itself.
+        open_ = (part[a] != part[b]) & ((side[a] != side[b]) | (side[a] < 0))
+        open_ &= np.minimum(n[a], n[b]) * 100 >= PERCENT * np.maximum(n[a], n[b])
+        a, b = a[open_], b[open_]
+        apart = np.bitwise_count(sketch[a] ^ sketch[b]).sum(axis=1, dtype=np.int64)
+        # 100 * both >= PERCENT * (all - both) with both <= (all - apart) / 2.
+        near = (100 + PERCENT) * (n[a] + n[b] - apart) >= 2 * PERCENT * (n[a] + n[b])
+        out.append(np.sort(np.stack([node[a[near]], node[b[near]]]), axis=0))
+        lo = hi
+    return np.unique(np.concatenate(out, axis=1), axis=1) if out else np.empty((2, 0), np.int64)
+
+
+@words.frugal
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidates among rows that are in order of their group; a group may reach over batches."""
+    names = ["bucket", "i", "j", "side", "node", "component", "n", "sketch"]
+    held = None
+    for batch in itertools.chain(batches, [None]):
+        table = pa.Table.from_batches([b for b in (held, batch) if b is not None]).combine_chunks() if held or batch else None
+        if table is None or not table.num_rows:
+            continue
+        bucket, i, j, side, node, part, n = (table.column(c).to_numpy() for c in names[:-1])
+        new = np.ones(len(node), bool)
+        new[1:] = (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        # The last group may go on in the next batch.
+        stop = len(node) if batch is None else int(np.flatnonzero(new)[-1])
+        held = table.slice(stop).to_batches()[0] if stop < len(node) else None
+        if stop:
+            raw = np.frombuffer(b"".join(table.column("sketch").slice(0, stop).to_pylist()), _U).reshape(-1, SKETCH)
+            pairs = _possible(np.cumsum(new)[:stop], side[:stop], node[:stop], part[:stop], n[:stop], raw)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+
 def similar(left: Column, right: Column) -> Column:
     both = F.size(F.array_intersect(left, right))
     return 100 * both >= PERCENT * (F.size(left) + F.size(right) - both)
@@ -157,7 +230,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         met.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .groupBy("a", "b").agg(F.count("*").alias("hits"))
     )
-    labels = _linked(given, stars)
+    labels = _linked(given, tables, stars)
 
     # The smallest document of a component is a node, as nodes are named after the smallest of their copies.
     named = _labelled(stored(equal), labels, "node", "component_id").select("s1", "s2", "component_id")
@@ -187,7 +260,27 @@ def _paired_keys(nodes: DataFrame) -> DataFrame:
     return stored(opened.select("node", F.xxhash64("one", "two").alias("bucket")))
 
 
-def _linked(given: DataFrame, stars: DataFrame) -> DataFrame:
+def _across(tables: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """The distinct (a, b) that share a bucket, are in different components and can be links."""
+    placed = _labelled(tables, labels, "node", "component")
+    mixed = stored(
+        placed.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("*").alias("held"))
+        .where("c1 < c2").select("bucket", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks"))
+    )
+    members = _labelled(tables.join(mixed, "bucket"), labels, "node", "component")
+    sketches = sets.mapInArrow(_sketches, "node long, n long, sketch binary").distinct()
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    met = members.join(sketches, "node").withColumn("own", own)
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select(
+        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("side"), "node", "component", "n", "sketch",
+    )
+    dealt = met.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return dealt.mapInArrow(_compared, "a long, b long").distinct()
+
+
+def _linked(given: DataFrame, tables: DataFrame, stars: DataFrame) -> DataFrame:
     """(node, label) from the verified links between candidates."""
     wanted = stored(stars.select(F.col("a").alias("doc_id")).union(stars.select(F.col("b").alias("doc_id"))).distinct())
     sets = stored(
@@ -202,4 +295,10 @@ def _linked(given: DataFrame, stars: DataFrame) -> DataFrame:
 
     apart = _labelled(_labelled(stars, labels, "a", "ca"), labels, "b", "cb").where("ca <> cb")
     more = stored(_verified(apart.select("a", "b"), sets))
+    if not more.isEmpty():
+        links = stored(links.union(more))
+        labels = components(links)
+
+    # Buckets that still hold several components: all pairs across them.
+    more = stored(_verified(stored(_across(tables, labels, sets)), sets))
     return labels if more.isEmpty() else components(stored(links.union(more)))
