@@ -263,6 +263,22 @@ def test_license_rules_suppress_what_a_better_rule_covers():
     assert len(scanner.rules) > 300
 
 
+def test_license_gate_loses_no_detection(spark):
+    texts = ["Released under the GPLv3.", "gpl3", "licensed under LGPLv2.1 or later", "AGPLv3", "WTFPLv2", "CC0v1", "cc01.0"]
+    texts += ["“GPL v2”", "the\u00a0gnu\u00a0general public license", "(apache license 2)", "x", "gp", "l", "gpl", "", None]
+    texts += ["Permission is hereby granted, free of charge, to any person obtaining a copy", "unaltered source versions must be plainly marked as such"]
+    texts += ["proprietary and confidentiality", "xspdx-license-identifier: mit", "procreative commons attribution 4.0", "é©copyright (c)  2020"]
+    texts += ["commit licenses permit", "MIT License", "mit/x11 license", "1gplv3", "é gplv3", "end gpl", "v3 mi", "t license"]
+    scanner = license_scan.Scanner()
+    everything = set(scanner.by_keyword)
+    expected = [scanner.detections((t or "").translate(LOW), everything) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: [d.asDict() for d in r["detections"]] for r in license_scan.scan(docs.coalesce(1)).collect()}
+    assert found == dict(enumerate(expected))
+    assert [[d["label"] for d in found[k]] for k in range(5)] == [["gpl-3.0"], ["gpl-3.0"], ["lgpl-2.1"], ["agpl-3.0"], ["wtfpl-2.0"]]
+    assert all(r.keyword in r.pattern.pattern for r in scanner.rules)
+
+
 def test_decontamination(odd, nothing, spark):
     texts = [t for _, t in sorted(given_rows(odd), key=lambda r: str(r)) if t and len(t.split()) > 30][:3]
     items = [(1, " ".join(texts[0].split()[3:30])), (2, "never seen " * 20), (10, texts[1]), (3, "apache License"), (4, None), (None, "one"), (5, "")]

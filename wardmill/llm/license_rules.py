@@ -77,7 +77,7 @@ ATTRIBUTION_VERSIONS = ["1.0", "2.0", "2.5", "3.0", "4.0"]
 
 # Sentences of licence texts and notices, with the word that gates them.
 SENTENCES = [
-    ("mit", "sublicense", r"permission is hereby granted, free of charge, to any person obtaining a copy"),
+    ("mit", "hereby", r"permission is hereby granted, free of charge, to any person obtaining a copy"),
     ("isc", "permission", r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose with or without fee"),
     ("bsd", "redistribution", r"redistribution and use in source and binary forms, with or without modification, are permitted"),
     ("zlib", "altered", r"altered source versions must be plainly marked as such"),
@@ -95,7 +95,7 @@ SENTENCES = [
 
 @dataclass(frozen=True)
 class Rule:
-    """A rule runs on texts that hold its keyword. Of overlapping detections the higher priority counts."""
+    """A rule runs on texts that hold its keyword, which every match of the rule holds as well. Of overlapping detections the higher priority counts."""
 
     name: str
     label: str

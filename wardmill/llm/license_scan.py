@@ -1,7 +1,8 @@
 """License scan with ordered signature rules.
 
-Every rule is gated by a keyword: its expression runs only over texts that hold that word, which the hashes
-of a text's words tell. Detections are intervals of the lower-cased text. Of two detections where one lies
+Every rule is gated by a keyword that all of its matches hold: its expression runs only over texts in which
+a run of ASCII letters and digits begins with the keyword, as `gplv3` does, or, where the rule itself begins
+with the keyword and asks for nothing before it, texts that hold it anywhere. Detections are intervals of the lower-cased text. Of two detections where one lies
 inside the other, or that cover the same interval, only the one of the better rule stays: first by
 priority, then by length, then by place and name.
 """
@@ -34,7 +35,7 @@ def _hash(text: str) -> int:
 class Scanner:
     def __init__(self):
         self.rules = license_rules.build()
-        keys = {r.keyword for r in self.rules} | {w for phrase in license_rules.BASE for w in phrase}
+        keys = {w for phrase in license_rules.BASE for w in phrase}
         hashes = {_hash(k): k for k in keys}
         self.keys = np.array(sorted(hashes), np.uint64)
         self.names = [hashes[k] for k in self.keys.tolist()]
@@ -42,9 +43,40 @@ class Scanner:
         self.by_keyword: dict[str, list[license_rules.Rule]] = {}
         for r in self.rules:
             self.by_keyword.setdefault(r.keyword, []).append(r)
-
-    def keywords(self, hashes: np.ndarray) -> np.ndarray:
-        """The number of the keyword that each word is, -1 for other words."""
+        self.anywhere = sorted({r.keyword for r in self.rules if r.pattern.pattern.startswith(r.keyword)})
+        self.leading = sorted(set(self.by_keyword) - set(self.anywhere))
+        self.first_two = np.zeros(1 << 16, bool)
+        self.first_two[[k.encode()[0] << 8 | k.encode()[1] for k in self.leading]] = True
+
+    def gated(self, low: np.ndarray, bounds: np.ndarray) -> dict[int, set[str]]:
+        """The keywords whose rules may match, by row of the lower-cased texts."""
+        found: dict[int, set[str]] = {}
+        raw = low.tobytes()
+        for keyword in self.anywhere:
+            at = raw.find(keyword.encode())
+            while at >= 0:
+                row = int(np.searchsorted(bounds, at, "right")) - 1
+                found.setdefault(row, set()).add(keyword)
+                at = raw.find(keyword.encode(), int(bounds[row + 1]))
+        begins = ~words.PUNCTUATION[low] & (low < 128)
+        begins[1:] &= ~begins[:-1]
+        edge = bounds[1:-1]
+        edge = edge[edge < len(low)]
+        begins[edge] = True
+        start = np.flatnonzero(begins[:-1])
+        two = low[start].astype(np.int64) << 8 | low[start + 1]
+        start, two = start[self.first_two[two]], two[self.first_two[two]]
+        for keyword in self.leading:
+            name = np.frombuffer(keyword.encode(), np.uint8)
+            at = start[(two == (int(name[0]) << 8 | int(name[1]))) & (start + len(name) <= len(low))]
+            for k in range(2, len(name)):
+                at = at[low[at + k] == name[k]]
+            for row in np.unique(np.searchsorted(bounds, at, "right") - 1).tolist():
+                found.setdefault(row, set()).add(keyword)
+        return found
+
+    def phrase_words(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of the word of a base phrase that each word is, -1 for other words."""
         at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
         return np.where(self.keys[at] == hashes, at, -1)
 
@@ -76,7 +108,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi, data, bounds in words.slices(batch.column("text")):
             low = words.LOWER[data]
             start, end, row = words.spans(low, bounds, words.PUNCTUATION)
-            key = scanner.keywords(words.span_hashes(low, start, end))
+            key = scanner.phrase_words(words.span_hashes(low, start, end))
             for k in np.flatnonzero(key >= 0):  # a hash is no proof
                 if low[start[k] : end[k]].tobytes() != scanner.names[key[k]].encode():
                     key[k] = -1
@@ -92,9 +124,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     hit &= key[k : len(key) - n + 1 + k] == word
                 for at in np.flatnonzero(hit):
                     base[row[at]].append({"label": label, "word": int(at - begin[row[at]])})
-            marked = np.flatnonzero(key >= 0)
-            for r in np.unique(row[marked]):
-                held = {scanner.names[k] for k in key[marked[np.searchsorted(row[marked], r, "left") : np.searchsorted(row[marked], r, "right")]]}
+            for r, held in scanner.gated(low, bounds).items():
                 text = low[bounds[r] : bounds[r + 1]].tobytes().decode("utf-8", "replace")
                 found[r] = scanner.detections(text, held)
             places = pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64())]))
