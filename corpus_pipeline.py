@@ -19,8 +19,12 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language can be told; those without a letter go."""
-    found = language_id.predict(docs, language_id.learn_from(docs), through=docs.columns)
+    """Documents in which a language can be told; those without a letter go. Where nothing could be learned,
+    because no usable row has a label, every document with a letter stays."""
+    net = language_id.learn_from(docs)
+    if net is None:
+        return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
+    found = language_id.predict(docs, net, through=docs.columns)
     return found.where(F.col("lang_pred") != language_id.UNKNOWN).select("row.*")
 
 

@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 import __spark_entry__ as entry
+from pyspark.sql import functions as F
 from wardmill.llm import registry
 
 
@@ -26,6 +27,14 @@ def test_stages_take_an_empty_table(spark):
         assert stage(spark, docs, root).count() == 0
 
 
+def test_documents_without_any_label_stay(spark, odd):
+    docs = odd.withColumn("lang", F.lit(None).cast("string"))
+    out = corpus_pipeline.identify_language(spark, docs, "")
+    lettered = [(r["doc_id"], r["text"]) for r in docs.collect() if any(map(str.isalpha, r["text"] or ""))]
+    assert out.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted(lettered, key=str)
+
+
 def test_registered():
     assert set(registry.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert sorted(n.split("_")[0] for n in registry.QUERIES) == sorted(f"op{k}" for k in range(1, 11))
