@@ -1,14 +1,13 @@
-"""Substring dedup over a De Bruijn graph of word k-mers.
+"""Substring dedup over windows of words, dealt by minimizer.
 
-A window of ``K`` words is an edge between the k-1-mers at its ends. A window is repeated when the same
-words also begin in a document with a smaller doc_id; every word inside a repeated window goes.
+A window of ``K`` words is repeated when the same words, told by hash, also begin in a document with a
+smaller doc_id; every word inside a repeated window goes.
 
-Consecutive windows that share their minimizer (the smallest hash among their ``M``-word grams) are a piece
-of path without a branch and travel as one row, keyed by the minimizer: equal windows have equal
-minimizers, so they meet. A window that a smaller document of the same slice of the input already has is
+Consecutive windows that share their minimizer (the smallest hash among their ``M``-word grams) travel as
+one row, keyed by the minimizer: equal windows have equal minimizers, so they meet. A window that a smaller document of the same slice of the input already has is
 decided there and not sent, so a passage that a third of all documents hold arrives once a slice. Where
 rows of one minimizer meet, every window learns the coordinates of its first source. Windows that advance in step
-with their source compact into long spans, joined over the pieces, and the coordinates hold a span
+with their source compact into long spans in a window function, and the coordinates hold a span
 together: a span ends where its source branches off.
 """
 
