@@ -347,6 +347,17 @@ def test_language_id(odd, nothing):
     assert language_id.predict(odd, None).where("lang_pred <> 'und'").count() == 0
 
 
+def test_training_takes_few_runs_of_a_text_without_blanks(spark, monkeypatch):
+    rows = [(k, "".join(chr(97 + (i * 7 + k) % 26) * (i % 9) for i in range(20000)), "en") for k in range(8)]
+    rows += [(100 + k, f" eau çois  été queaux{k} leçon", "fr") for k in range(8)]
+    taken = []
+    monkeypatch.setattr(language_id, "train", lambda samples: taken.append(samples))
+    language_id.learn_from(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    count = collections.Counter(name for _, name in taken[0])
+    assert 60 < count["en"] <= 8 * 60
+    assert {"eau".encode(), "çois".encode(), "été".encode(), "leçon".encode()} < {run for run, name in taken[0] if name == "fr"}
+
+
 def test_gradients_through_time():
     import numpy as np
 

@@ -23,7 +23,7 @@ from wardmill.llm.words import frugal, slices
 UNKNOWN = "und"
 CUT = 32
 HIDDEN = 16
-#: Labelled documents of each language that are read for training, and words of each.
+#: Labelled documents of each language that are read for training, and runs of each.
 SAMPLE, SAMPLE_WORDS = 500, 60
 #: Runs whose labels a task keeps; beyond that it starts anew.
 KEEP = 150_000
@@ -234,6 +234,21 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(True))
 
 
+def _spread(most: int):
+    """At most ``most`` different runs of each text, evenly spread over all of its runs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            picked = []
+            for text in batch.column("text"):
+                runs = _runs(text.as_py().encode())
+                picked.append(list(dict.fromkeys(runs[i * len(runs) // most] for i in range(most))) if runs else [])
+            columns = [batch.column("doc_id"), batch.column("lang"), pa.array(picked, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "w"])
+
+    return run
+
+
 def learn_from(docs: DataFrame, sample: int = SAMPLE, sample_words: int = SAMPLE_WORDS) -> Network | None:
     """A network from at most ``sample`` documents of each language (the first by hash of the id), each giving
     ``sample_words`` runs spread evenly over its whole text. None if no document can be learned from."""
@@ -250,13 +265,10 @@ def learn_from(docs: DataFrame, sample: int = SAMPLE, sample_words: int = SAMPLE
         chosen = chosen.union(part)
     ids = [(r[0], r[1]) for r in chosen.collect()]
     found = usable.where(F.col("doc_id").isin([d for d, _ in ids])).select("doc_id", "lang", "text")
-    held = found.select("doc_id", "lang", F.split("text", r"\s+").alias("w"))
-    spread = F.transform(
-        F.sequence(F.lit(0), F.lit(sample_words - 1)),
-        lambda i: F.get("w", F.floor(i * F.size("w") / sample_words).cast("int")),
-    )
-    rows = held.select("lang", F.array_distinct(spread).alias("w"), "doc_id").orderBy("doc_id", "lang", "w").collect()
-    samples = [(run, r["lang"]) for r in rows for word in r["w"] if word for run in _runs(word.encode())]
+    schema = found.select("doc_id", "lang", F.array(F.lit(b"")).alias("w")).schema
+    held = found.mapInArrow(frugal(_spread(sample_words)), schema)
+    rows = held.select("lang", "w", "doc_id").orderBy("doc_id", "lang", "w").collect()
+    samples = [(bytes(run), r["lang"]) for r in rows for run in r["w"]]
     return train(samples) if samples else None
 
 
