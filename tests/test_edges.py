@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import types as T
 
-from conftest import day, rows
+from helpers import day, rows
 
 from wardmill.operators import cleaning, constraints, integrity, quality
 from wardmill.operators.dedupe import keep_first

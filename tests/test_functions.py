@@ -5,7 +5,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 
 from wardmill.functions import arith, dates, text
 

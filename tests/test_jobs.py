@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 
 from wardmill.jobs import pipeline
 from wardmill.jobs.store import TableStore

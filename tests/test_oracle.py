@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
-from conftest import SMALL
+from helpers import SMALL
 
 ROOT = os.environ.get("TEST_SF_DIR", SMALL)
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()

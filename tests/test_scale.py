@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 import __spark_entry__ as entry
-from conftest import SMALL, rows
+from helpers import SMALL, rows
 
 from wardmill.operators import integrity, ranking
 from wardmill.operators.quantiles import percentile_cont
