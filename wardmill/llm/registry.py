@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wardmill.llm import (
     byte_bpe,
+    centroids,
+    conversation_trie,
     decontamination,
     language_id,
     license_scan,
     line_dedup,
+    mixing,
     near_duplicates,
     quality_rules,
     sharding,
+    sql,
     substring_dedup,
     warc,
 )
@@ -123,6 +127,19 @@ def op10_language_id(spark: SparkSession, root: str) -> DataFrame:
     return predicted.select("row.doc_id", language_id.held_out("row.doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op11_conversation_trie(spark: SparkSession, root: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, root, "conversations"))
+
+
+def op12_centroid_clustering(spark: SparkSession, root: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster(table(spark, root, "embeddings")))
+
+
+def op13_source_mixing(spark: SparkSession, root: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, root, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -134,6 +151,9 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_language_id": op10_language_id,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_source_mixing": op13_source_mixing,
 }
 
 OP1_SQL = r"""
@@ -162,4 +182,8 @@ SELECT doc_id, count(k) AS n_lines, count(gone) AS n_removed,
 FROM marked GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": OP1_SQL,
+    "op11_conversation_trie": sql.TRIE,
+    "op12_centroid_clustering": sql.CLUSTER,
+}
