@@ -37,4 +37,4 @@ def test_documents_without_any_label_stay(spark, odd):
 
 def test_registered():
     assert set(registry.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(n.split("_")[0] for n in registry.QUERIES) == sorted(f"op{k}" for k in range(1, 11))
+    assert sorted(n.split("_")[0] for n in registry.QUERIES) == sorted(f"op{k}" for k in range(1, 14))
