@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from wardmill.llm.common import in_batches
 from wardmill.llm.words import frugal, lists, slices, span_hashes
 
 #: Matches longer than this are merged alone.
@@ -393,10 +394,10 @@ def encode(docs: DataFrame, path: str, pattern: str = PATTERN, decoded: bool = F
     """
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, ids array<int>" + ", decoded binary" * decoded
-    return given.mapInArrow(frugal(_encode(path, pattern, decoded)), schema)
+    return given.transform(in_batches, frugal(_encode(path, pattern, decoded)), schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, decoded) with the bytes that the ids stand for; a null list of ids gives no bytes."""
     given = encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-    return given.mapInArrow(frugal(_decode(path)), "doc_id long, ids array<int>, decoded binary")
+    return given.transform(in_batches, frugal(_decode(path)), "doc_id long, ids array<int>, decoded binary")

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from wardmill.llm.common import stored
+from wardmill.llm.common import in_batches, stored
 from wardmill.llm.words import frugal
 
 CLUSTERS = 40
@@ -133,7 +133,7 @@ def _assigned(centroids: np.ndarray) -> Callable:
 
 def moved(vectors: DataFrame, centroids: np.ndarray) -> np.ndarray:
     """The centroids after one round: each floor(sum / count) of its vectors, an empty one as before."""
-    parts = vectors.mapInArrow(_sums(centroids), "cluster int, n long, total array<long>")
+    parts = vectors.transform(in_batches, _sums(centroids), "cluster int, n long, total array<long>")
     parts = parts.select("cluster", "n", F.posexplode("total").alias("c", "x"))
     added = parts.groupBy("cluster", "c").agg(F.sum("n").alias("n"), F.sum("x").alias("x")).collect()  # CLUSTERS * SIZE
     out = centroids.copy()
@@ -144,7 +144,7 @@ def moved(vectors: DataFrame, centroids: np.ndarray) -> np.ndarray:
 
 def assign(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
     """(vec_id, cluster, distance) of every vector."""
-    return vectors.mapInArrow(_assigned(centroids), "vec_id long, cluster int, distance long")
+    return vectors.transform(in_batches, _assigned(centroids), "vec_id long, cluster int, distance long")
 
 
 def cluster(embeddings: DataFrame, clusters: int = CLUSTERS, rounds: int = ROUNDS) -> tuple[DataFrame, np.ndarray]:

@@ -20,7 +20,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wardmill.llm.common import stored
+from wardmill.llm.common import in_batches, stored
 from wardmill.llm.words import frugal
 
 #: Turns whose hashes are combined by one window; longer conversations go block by block.
@@ -295,9 +295,9 @@ def ends(conversations: DataFrame, steps: DataFrame) -> DataFrame:
     ).select("node", "conv_id")
     last = last.union(conversations.where("length = 0").select(F.lit(ROOT).alias("node"), "conv_id"))
     pieces = stored(last).repartitionByRange("node", "conv_id").sortWithinPartitions("node", "conv_id")
-    pieces = pieces.mapInArrow(_written, "node binary, first long, ids string")
+    pieces = pieces.transform(in_batches, _written, "node binary, first long, ids string")
     ordered = pieces.repartition("node").sortWithinPartitions("node", "first")
-    return ordered.mapInArrow(_digests, "node binary, ends_sha256 string")
+    return ordered.transform(in_batches, _digests, "node binary, ends_sha256 string")
 
 
 def prefix_trie(conversations: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from wardmill.llm.common import in_batches
 from wardmill.llm.words import frugal, slices
 
 UNKNOWN = "und"
@@ -266,7 +267,7 @@ def learn_from(docs: DataFrame, sample: int = SAMPLE, sample_words: int = SAMPLE
     ids = [(r[0], r[1]) for r in chosen.collect()]
     found = usable.where(F.col("doc_id").isin([d for d, _ in ids])).select("doc_id", "lang", "text")
     schema = found.select("doc_id", "lang", F.array(F.lit(b"")).alias("w")).schema
-    held = found.mapInArrow(frugal(_spread(sample_words)), schema)
+    held = found.transform(in_batches, frugal(_spread(sample_words)), schema)
     rows = held.select("lang", "w", "doc_id").orderBy("doc_id", "lang", "w").collect()
     samples = [(bytes(run), r["lang"]) for r in rows for run in r["w"]]
     return train(samples) if samples else None
@@ -285,4 +286,4 @@ def predict(docs: DataFrame, net: Network | None, through: list[str] | None = No
     inside = next((k for k, c in enumerate(names) if c.lower() == "text" and docs.schema[c].dataType == T.StringType()), None)
     given = docs.select(row, *[F.col("text").cast("string").alias("text")] * (inside is None))
     out = given.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    return out if net is None else given.mapInArrow(frugal(_predict(net, inside)), out.schema)
+    return out if net is None else given.transform(in_batches, frugal(_predict(net, inside)), out.schema)

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from wardmill.llm.common import in_batches
 from wardmill.llm import license_rules, words
 
 _DETECTION = pa.struct(
@@ -147,4 +148,4 @@ def scan(docs: DataFrame) -> DataFrame:
     scanned each; columns but doc_id and text are not read.
     """
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.mapInArrow(_scan, _SCHEMA)
+    return given.transform(in_batches, _scan, _SCHEMA)

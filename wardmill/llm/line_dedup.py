@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wardmill.llm import words
-from wardmill.llm.common import id_of, stored
+from wardmill.llm.common import id_of, in_batches, stored
 
 RUN = 3
 
@@ -70,7 +70,8 @@ def repeated_runs(docs: DataFrame, run: int = RUN) -> DataFrame:
     """(id, th, runs): for each document with deletions the first and last line, not counting blank ones, of
     the runs that occur earlier. ``id`` and ``th`` are the id and the hash of the text of a row."""
     given = docs.select(id_of().alias("id"), F.xxhash64("text").alias("th"), F.col("text").cast("string").alias("text"))
-    prints = given.where(F.col("text").isNotNull()).mapInArrow(
+    prints = given.where(F.col("text").isNotNull()).transform(
+            in_batches,
         words.frugal(_fingerprints(run)), "id long, th long, at int, print long, before int, around array<long>"
     )
     prints = stored(prints)
@@ -149,4 +150,4 @@ def without_repeats(docs: DataFrame, run: int = RUN) -> DataFrame:
     schema = joined.select(
         "row", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"), F.lit("").alias("kept_text")
     ).schema
-    return joined.mapInArrow(words.frugal(_deleted(run)), schema)
+    return joined.transform(in_batches, words.frugal(_deleted(run)), schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardmill.llm import words
-from wardmill.llm.common import stored
+from wardmill.llm.common import in_batches, stored
 from wardmill.llm.components import components
 
 SHINGLE = 5
@@ -213,7 +213,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = stored(
-        given.mapInArrow(_sign, "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>")
+        given.transform(in_batches, _sign, "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>")
     )
     usable = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     # Equal sets become one node, named after their smallest document.
@@ -268,7 +268,7 @@ def _across(tables: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
         .where("c1 < c2").select("bucket", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks"))
     )
     members = _labelled(tables.join(mixed, "bucket"), labels, "node", "component")
-    sketches = sets.mapInArrow(_sketches, "node long, n long, sketch binary").distinct()
+    sketches = sets.transform(in_batches, _sketches, "node long, n long, sketch binary").distinct()
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     met = members.join(sketches, "node").withColumn("own", own)
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -277,7 +277,7 @@ def _across(tables: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
         F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("side"), "node", "component", "n", "sketch",
     )
     dealt = met.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return dealt.mapInArrow(_compared, "a long, b long").distinct()
+    return dealt.transform(in_batches, _compared, "a long, b long").distinct()
 
 
 def _linked(given: DataFrame, tables: DataFrame, stars: DataFrame) -> DataFrame:
@@ -287,7 +287,7 @@ def _linked(given: DataFrame, tables: DataFrame, stars: DataFrame) -> DataFrame:
         given.where(F.col("doc_id").isNotNull())
         .join(wanted, "doc_id", "left_semi")
         .select("doc_id", "text")
-        .mapInArrow(_sets, "node long, shingles array<long>")
+        .transform(in_batches, _sets, "node long, shingles array<long>")
     )
     best = stars.groupBy("b").agg(F.max(F.struct("hits", (-F.col("a")).alias("minus"))).alias("top"))
     links = stored(_verified(best.select((-F.col("top.minus")).alias("a"), "b"), sets))

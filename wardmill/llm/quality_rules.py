@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardmill.llm import words
-from wardmill.llm.common import stored
+from wardmill.llm.common import in_batches, stored
 
 REPEAT_WINDOW = 3
 MIN_WORDS = 50
@@ -105,7 +105,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     Only the columns doc_id and text are read; a null doc_id stays null, repeated rows are measured each.
     """
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.mapInArrow(_measure, "doc_id long, " + ", ".join(f"{c} long" for c in STATISTICS))
+    return given.transform(in_batches, _measure, "doc_id long, " + ", ".join(f"{c} long" for c in STATISTICS))
 
 
 def base_failed() -> Column:

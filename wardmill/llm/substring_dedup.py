@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from wardmill.llm.common import in_batches
 from wardmill.llm import words
 
 K = 13
@@ -152,9 +153,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     given = given.where("doc_id is not null and text is not null")
-    local = given.mapInArrow(_local_spans, _SPAN)
-    pieces = given.mapInArrow(_pieces, "minimizer long, doc_id long, at int, windows binary")
-    met = pieces.repartition("minimizer").sortWithinPartitions("minimizer", "doc_id", "at").mapInArrow(_met, _SPAN)
+    local = given.transform(in_batches, _local_spans, _SPAN)
+    pieces = given.transform(in_batches, _pieces, "minimizer long, doc_id long, at int, windows binary")
+    met = pieces.repartition("minimizer").sortWithinPartitions("minimizer", "doc_id", "at").transform(in_batches, _met, _SPAN)
 
     # Compact: pieces that touch and keep the distance to their source are one span.
     in_step = Window.partitionBy("doc_id", "source", "step").orderBy("at", "size")
@@ -200,6 +201,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         F.collect_list(F.struct(F.col("first_word").alias("at"), (F.col("first_word") + F.col("n_words")).alias("past"))).alias("spans")
     )
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(
+    return given.join(spans, "doc_id", "left").select("doc_id", "text", "spans").transform(
+            in_batches,
         _removed, "doc_id long, n_words long, n_removed long, kept_text string"
     )

@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from wardmill.llm.common import stored
+from wardmill.llm.common import in_batches, stored
 
 MAGIC = "WARC/1.1\r\n"
 #: Payloads of at least so many bytes are deduplicated.
@@ -222,7 +222,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     from its start is no record. A file without a record at its start gives none. The digest of a response is
     taken from its payload; a revisit tells its own and the size in its head.
     """
-    candidates = stored(_pieces(spark, path).mapInArrow(_candidates, _CANDIDATE))
+    candidates = stored(_pieces(spark, path).transform(in_batches, _candidates, _CANDIDATE))
     # The pieces of a file's splits tile it: a split begins where those before it end.
     sizes = candidates.groupBy("file", "block").agg(F.max("total").alias("size"))
     order = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -299,11 +299,12 @@ def _mended(spark: SparkSession, path: str, places: DataFrame, records: DataFram
     owned = places.select("file", "block", "at", "start").join(marks, ["file", "start"], "left")
     owned = owned.withColumn("record", F.last("record", ignorenulls=True).over(before))
     owned = stored(owned.where("not record.whole and start < record.stop").select("file", "block", "at", F.col("start").alias("place"), "record"))
-    pieces = _pieces(spark, path).mapInArrow(_numbered, "file string, block long, piece binary, at long")
+    pieces = _pieces(spark, path).transform(in_batches, _numbered, "file string, block long, piece binary, at long")
     parts = pieces.join(owned, ["file", "block", "at"]).groupBy("file", "record").agg(
         F.sort_array(F.collect_list(F.struct("place", "piece"))).alias("parts")
     )
-    return parts.select("file", "record.*", "parts").mapInArrow(
+    return parts.select("file", "record.*", "parts").transform(
+            in_batches,
         _joined,
         "file string, start long, page_id long, record_type string, refers_to long, payload_bytes long, payload_digest string",
     )
