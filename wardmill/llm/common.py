@@ -20,7 +20,7 @@ stored = durable
 
 def in_batches(df: DataFrame, task: Task, schema: StructType | str) -> DataFrame:
     """``mapInArrow`` over batches of at most ``ARROW_BATCH`` bytes or a single row; a smaller setting of the session stays."""
-    now = df.sparkSession.conf.get(_BATCH_SETTING, "0").rstrip("b")
+    now = df.sparkSession.conf.get(_BATCH_SETTING).rstrip("b")
     if not now.isdigit() or not 0 < int(now) <= ARROW_BATCH:
         df.sparkSession.conf.set(_BATCH_SETTING, str(ARROW_BATCH))
     return df.mapInArrow(task, schema)
