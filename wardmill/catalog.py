@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from wardmill.operators import cleaning, constraints, fuzzy, integrity, quality
+from wardmill.operators import cleaning, constraints, fuzzy, integrity, quality, trees
 from wardmill.plans import business, measures, model, reports, views, visuals
 from wardmill.session import durable, scratch_path
 from wardmill.sources import files, schemas
@@ -75,7 +75,32 @@ def _risk_features(c: StarClinic) -> DataFrame:
 
 
 def _usable(c: StarClinic) -> DataFrame:
-    return model.usable(_risk_features(c))
+    return durable(model.usable(_risk_features(c)))
+
+
+def _parts(c: StarClinic) -> tuple[DataFrame, DataFrame]:
+    """Training and test part of the model features, stored."""
+    train, test = model.split(durable(model.prepared(_risk_features(c))))
+    return durable(train), test
+
+
+#: Ensembles small enough for a second engine to fit them again in SQL; the rows are all rows of the training part.
+SMALL_BOOSTED = dict(rounds=3, depth=3, rate=0.3, bins=32)
+SMALL_FOREST = dict(count=3, depth=3, bins=32)
+
+
+def _fitted(kind: str, result: str) -> Callable[[StarClinic], DataFrame]:
+    def run(c: StarClinic) -> DataFrame:
+        train, test = _parts(c)
+        fitted = model.newton_boosted(train, **SMALL_BOOSTED) if kind == "boosted" else model.bagged_forest(train, **SMALL_FOREST)
+        if result == "nodes":
+            nodes = trees.node_table(fitted, c.spark)
+            return nodes.withColumns({x: F.round(x, 9) for x in ("value", "gain")})
+        if result == "importances":
+            return trees.importances(fitted, c.spark).withColumn("importance", F.round("importance", 9))
+        return model.scored(fitted, test).withColumn("score", F.round("score", 9))
+
+    return run
 
 
 def _scored(c: StarClinic) -> DataFrame:
@@ -205,6 +230,12 @@ BUILDERS: dict[str, Callable[[StarClinic], DataFrame]] = {
     "ml_class_weights": lambda c: model.class_weights(model.split(_usable(c))[0]),
     "ml_confusion": lambda c: model.confusion(_scored(c)),
     "ml_metrics": lambda c: model.evaluate(durable(_scored(c)), "prior_no_show_rate"),
+    "ml_boosted_nodes": _fitted("boosted", "nodes"),
+    "ml_boosted_scores": _fitted("boosted", "scores"),
+    "ml_boosted_importances": _fitted("boosted", "importances"),
+    "ml_forest_nodes": _fitted("forest", "nodes"),
+    "ml_forest_scores": _fitted("forest", "scores"),
+    "ml_forest_importances": _fitted("forest", "importances"),
     "ml_train_rf": _train("Random Forest"),
     "ml_train_gbt": _train("Gradient-boosted trees"),
     # search
