@@ -65,9 +65,20 @@ def _quality(c: StarClinic) -> DataFrame:
     return quality.quality_report(c.raw_patients, c.raw_appointments, c.raw_treatments, AS_OF)
 
 
-def _scan_csv(c: StarClinic) -> DataFrame:
-    path = files.write_csv(c.raw_patients, scratch_path(c.spark, "patients_raw"))
-    return files.scan_csv(c.spark, path, schemas.patients(T.LongType()))
+def _scan(table: str) -> Callable[[StarClinic], DataFrame]:
+    """The raw table written as CSV and scanned again under its schema."""
+
+    def run(c: StarClinic) -> DataFrame:
+        schema = schemas.resources() if table == "resources" else getattr(schemas, table)(T.LongType())
+        df = _tables(c, raw=True)[table].select(*schema.fieldNames())
+        return files.scan_csv(c.spark, files.write_csv(df, scratch_path(c.spark, f"{table}_csv")), schema)
+
+    return run
+
+
+def _report_rows(sheet: Callable[[StarClinic], DataFrame]) -> Callable[[StarClinic], DataFrame]:
+    """A report sheet as text, with the number of each line."""
+    return lambda c: reports.numbered_rows(reports.report_rows(sheet(c)))
 
 
 def _risk_features(c: StarClinic) -> DataFrame:
@@ -131,7 +142,11 @@ def _tables(c: StarClinic, raw: bool) -> dict[str, DataFrame]:
 
 BUILDERS: dict[str, Callable[[StarClinic], DataFrame]] = {
     # sources, sinks, loading
-    "scan_csv": _scan_csv,
+    "scan_csv": _scan("patients"),
+    "scan_csv_doctors": _scan("doctors"),
+    "scan_csv_appointments": _scan("appointments"),
+    "scan_csv_treatments": _scan("treatments"),
+    "scan_csv_resources": _scan("resources"),
     "load_dedup": lambda c: files.for_load(c.raw_treatments),
     "row_counts": lambda c: files.row_counts(_tables(c, raw=False) | {"appointments": c.visits}),
     "inject_defects": lambda c: c.raw_patients,
@@ -149,7 +164,9 @@ BUILDERS: dict[str, Callable[[StarClinic], DataFrame]] = {
     "dq_treatments": lambda c: quality.check_treatments(c.raw_treatments, AS_OF),
     "dq_summary": lambda c: quality.severity_summary(_quality(c)),
     "dq_high_total": lambda c: quality.high_total(_quality(c)),
-    "constraint_report": lambda c: constraints.constraint_report(_tables(c, raw=True), AS_OF),
+    "constraint_report": lambda c: constraints.constraint_report(
+        _tables(c, raw=True) | {"quality_report": _quality(c)}, AS_OF
+    ),
     "clean_patients": _clean_patients,
     "clean_appointments": _clean_appointments,
     "clean_treatments": _clean_treatments,
@@ -194,6 +211,10 @@ BUILDERS: dict[str, Callable[[StarClinic], DataFrame]] = {
     "sheet_resource_snapshot": lambda c: reports.sheet_resource_snapshot(c.resources),
     "sheet_kpi_cards": lambda c: reports.sheet_kpi_cards(_exec_kpis(c)),
     "report_rows": lambda c: reports.report_rows(reports.sheet_monthly_kpis(views.v_monthly_kpis(c.visits))),
+    "report_rows_exec": _report_rows(_exec_kpis),
+    "report_rows_departments": _report_rows(lambda c: reports.sheet_department_kpis(_department_performance(c))),
+    "report_rows_doctors": _report_rows(lambda c: reports.sheet_top_doctors(_doctor_totals(c))),
+    "report_rows_resources": _report_rows(lambda c: reports.sheet_resource_snapshot(c.resources)),
     # dashboard measures
     "dax_core": lambda c: measures.dax_core(c.appointments),
     "dax_revenue_total": lambda c: measures.dax_revenue_total(c.visits, c.treatments),
@@ -242,6 +263,7 @@ BUILDERS: dict[str, Callable[[StarClinic], DataFrame]] = {
     "fuzzy_doctor_name": lambda c: fuzzy.search(c.doctors, "doctor_name", "0042").select(
         "doctor_id", "doctor_name", "similarity"
     ),
+    "fuzzy_name_pairs": lambda c: fuzzy.similar_pairs(c.doctors, c.patient_names, "doctor_name", "patient_name"),
 }
 
 

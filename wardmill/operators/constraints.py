@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wardmill.sources.schemas import GENDERS, STATUSES, TREATMENT_TYPES
 
@@ -43,6 +43,7 @@ def table_rules(as_of: dt.date) -> dict[str, dict]:
                 "waiting_time_minutes": "waiting_time_minutes >= 0",
                 "appointment_cost": "appointment_cost >= 0",
             },
+            "numeric": {"appointment_cost": (12, 2)},
         },
         "treatments": {
             "key": "treatment_id",
@@ -53,6 +54,7 @@ def table_rules(as_of: dt.date) -> dict[str, dict]:
                 "treatment_cost": "treatment_cost >= 0",
                 "treatment_date": f"treatment_date <= DATE '{as_of.isoformat()}'",
             },
+            "numeric": {"treatment_cost": (12, 2)},
         },
         "resources": {
             "key": None,
@@ -67,16 +69,36 @@ def table_rules(as_of: dt.date) -> dict[str, dict]:
                 "staff_count": "staff_count >= 0",
                 "equipment_utilization": "equipment_utilization BETWEEN 0 AND 1",
             },
+            "numeric": {"equipment_utilization": (4, 2)},
         },
         "quality_report": {
             "key": None,
             "required": ["table_name", "check_name", "severity", "issues_found", "total_rows"],
             "length": {"table_name": 50, "check_name": 100, "column_name": 60, "severity": 10},
             "values": {"severity": "severity IN ('HIGH', 'MEDIUM', 'LOW')"},
+            "numeric": {"pct_affected": (6, 3)},
         },
     }
 
 
+def _exact(c: Column) -> Column:
+    """A number in all its digits, from the text of the value; NULL for what is no number of fewer than 27 digits."""
+    return F.trim(c.cast("string")).try_cast("decimal(38,11)")
+
+
+def fits_numeric(c: Column, precision: int, scale: int) -> Column:
+    """Whether a value, given as text or a number, can be stored as NUMERIC(precision, scale) after rounding: it is a
+    number, and has at most precision - scale digits before the point once it is rounded. NULL passes."""
+    limit = F.lit(10 ** (precision - scale)).cast("decimal(38,11)")
+    fits = F.abs(F.round(_exact(c), scale)) < limit
+    return c.isNull() | F.coalesce(fits, F.lit(False))
+
+
+def keeps_scale(c: Column, scale: int) -> Column:
+    """Whether storing a value with ``scale`` digits after the point leaves it as it is. What is no number passes here."""
+    return F.coalesce(_exact(c) == F.round(_exact(c), scale), F.lit(True))
+
+
 def constraint_report(tables: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
     """One row per rule: (table_name, column_name, rule, violations). One pass per table."""
     rules = table_rules(as_of)
@@ -94,6 +116,9 @@ def constraint_report(tables: dict[str, DataFrame], as_of: dt.date) -> DataFrame
             counts.append((column, "length", F.count_if(too_long)))
         for column, predicate in spec["values"].items():
             counts.append((column, "check", F.count_if(~F.expr(predicate))))
+        for column, (precision, scale) in spec.get("numeric", {}).items():
+            counts.append((column, "numeric", F.count_if(~fits_numeric(F.col(column), precision, scale))))
+            counts.append((column, "scale", F.count_if(~keeps_scale(F.col(column), scale))))
         one = df.agg(*[c.cast("bigint").alias(f"v{i}") for i, (_, _, c) in enumerate(counts)]).select(
             F.inline(
                 F.array(

@@ -1,13 +1,65 @@
-"""Fuzzy text search by trigram similarity."""
+"""Fuzzy text search by trigram similarity: one text against a column, and two columns against each other."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wardmill.functions.text import jaccard, trigrams
+from wardmill.session import durable
 
 
 def search(df: DataFrame, column: str, wanted: str, threshold: float = 0.3) -> DataFrame:
     """Rows whose text resembles ``wanted``: a map-only scan with the similarity as a column."""
     score = jaccard(trigrams(F.col(column)), trigrams(F.lit(wanted)))
     return df.withColumn("similarity", F.round(score, 6)).where(score >= threshold)
+
+
+def _sets(df: DataFrame, column: str, side: int) -> DataFrame:
+    """(side, text, n_rows, grams) of every distinct text that has trigrams."""
+    texts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("text")).agg(F.count("*").alias("n_rows"))
+    return texts.select(F.lit(side).alias("side"), "text", "n_rows", trigrams(F.col("text")).alias("grams")).where(F.size("grams") > 0)
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, left_column: str, right_column: str, threshold: float = 0.3) -> DataFrame:
+    """(left_text, right_text, similarity, left_rows, right_rows): every pair of a distinct text of either side whose
+    similarity is at least ``threshold`` (above 0), and how many rows hold each text.
+
+    A set-similarity join. Trigrams are put in one order, the rarest first. Two sets that are similar enough share
+    one of the first few trigrams of each, ``size - ceil(threshold * size) + 1`` of them, so only these are
+    indexed and joined. A meeting is dropped if the sizes are too unlike, or if even all trigrams from there on would
+    be too few. What is left is judged on the full sets. Texts are compared once however many rows hold them; a text
+    without a letter or digit resembles nothing.
+    """
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold is above 0 and at most 1")
+    slack = 1e-9
+    sets = durable(_sets(left, left_column, 0).union(_sets(right, right_column, 1)))
+    held = sets.select("side", "text", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
+    known = held.groupBy("gram").agg(F.count("*").alias("n"))
+    ordered = held.join(known, "gram").groupBy("side", "text", "size").agg(
+        F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("order")  # the trigrams of one text
+    )
+    first = F.col("size") - F.ceil(F.col("size") * threshold - slack) + 1
+    index = durable(
+        ordered.select("side", "text", "size", F.posexplode(F.slice("order", F.lit(1), first.cast("int"))).alias("at", "g"))
+        .select("side", "text", "size", "at", F.col("g.gram").alias("gram"))
+    )
+
+    def side(k: int, p: str) -> DataFrame:
+        return index.where(F.col("side") == k).select("gram", *[F.col(c).alias(f"{p}_{c}") for c in ("text", "size", "at")])
+
+    least = threshold / (1 + threshold) * (F.col("l_size") + F.col("r_size")) - slack
+    ahead = F.least(F.col("l_size") - F.col("l_at"), F.col("r_size") - F.col("r_at"))
+    alike = F.least("l_size", "r_size") >= F.greatest("l_size", "r_size") * threshold - slack
+    met = side(0, "l").join(side(1, "r"), "gram").where(alike & (ahead >= least))
+    pairs = met.select("l_text", "r_text").distinct()
+
+    def whole(k: int, p: str) -> DataFrame:
+        return sets.where(F.col("side") == k).select(*[F.col(c).alias(f"{p}_{c}") for c in ("text", "n_rows", "grams")])
+
+    score: Column = jaccard(F.col("l_grams"), F.col("r_grams"))
+    judged = pairs.join(whole(0, "l"), "l_text").join(whole(1, "r"), "r_text").withColumn("score", score)
+    return judged.where(F.col("score") >= threshold).select(
+        F.col("l_text").alias("left_text"), F.col("r_text").alias("right_text"), F.round("score", 6).alias("similarity"),
+        F.col("l_n_rows").alias("left_rows"), F.col("r_n_rows").alias("right_rows"),
+    )

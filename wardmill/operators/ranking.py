@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardmill.session import durable
 
+
 def running_totals(
     df: DataFrame, order: list[Column], sums: dict[str, Column], rows: str | None = None
 ) -> DataFrame:
@@ -70,3 +73,79 @@ def ntile(df: DataFrame, tiles: int, order: list[Column], out: str) -> DataFrame
         longer + F.ceil((position - edge) / F.nullif(short, F.lit(0)))
     )
     return placed.withColumn(out, tile.cast("int")).select(*df.columns, out)
+
+
+@dataclass
+class Rank:
+    """RANK (or DENSE_RANK) by a number, highest first and NULL highest of all, over all rows or ``within`` a column."""
+
+    value: str
+    within: str | None = None
+    dense: bool = False
+
+
+@dataclass
+class Tile:
+    """NTILE over all rows by a number, lowest first and NULL last, ties by the id."""
+
+    value: str
+    tiles: int
+
+
+def several(df: DataFrame, id_column: str, wanted: dict[str, Rank | Tile]) -> DataFrame:
+    """Add all ranks in ``wanted`` (by name) from one stored order.
+
+    Every rank brings rows of one common order to a table: (which, group, missing, key, id), where a Rank counts
+    equal values first, which removes ties and hot values, and a Tile brings each row. That table is range-partitioned
+    and stored once; places, heads of groups and sizes come from its running totals, and each rank is joined back.
+    ``id_column`` is unique and not null. ``df`` is read once for each rank and again for the result: pass a stored table.
+    """
+    number = "decimal(38,6)"
+    parts = []
+    for which, (name, spec) in enumerate(wanted.items()):
+        tile = isinstance(spec, Tile)
+        group = F.lit(None) if tile or spec.within is None else F.col(spec.within)
+        key = F.col(spec.value).cast(number)
+        brought = df.select(
+            F.lit(which).alias("which"), group.cast("string").alias("group"),
+            (key.isNull() if tile else key.isNotNull()).alias("missing"),
+            (key if tile else -key).alias("key"), (F.col(id_column) if tile else F.lit(None)).cast("string").alias("id"),
+        )
+        sides = ["which", "group", "missing", "key", "id"]
+        parts.append(brought.withColumn("n", F.lit(1).cast("bigint")) if tile else brought.groupBy(*sides).agg(F.count("*").alias("n")))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.union(part)
+    id_type = df.schema[id_column].dataType
+    order = [
+        F.asc("which"), F.asc_nulls_first("group"), F.asc("missing"), F.asc_nulls_first("key"),
+        F.asc_nulls_first(F.col("id").cast(id_type)),
+    ]
+    placed = running_totals(rows, order, {"upto": F.col("n"), "steps": F.lit(1).cast("bigint")})
+    placed = placed.withColumn("above", F.col("upto") - F.col("n")).withColumn("lower", F.col("steps") - 1)
+    out = df
+    for which, (name, spec) in enumerate(wanted.items()):
+        own = placed.where(F.col("which") == which)
+        if isinstance(spec, Tile):
+            # the order of this rank is one group: its head and size come from the ends
+            size = own.agg(F.min("above").alias("head"), F.count("*").alias("size"))
+            found = own.join(F.broadcast(size), F.col("above") >= F.col("head"))  # one row
+            at = F.col("above") - F.col("head") + 1
+            short, longer = F.floor(F.col("size") / spec.tiles), F.col("size") % spec.tiles
+            edge = longer * (short + 1)
+            tile = F.when(at <= edge, F.ceil(at / (short + 1))).otherwise(longer + F.ceil((at - edge) / F.nullif(short, F.lit(0))))
+            found = found.select(F.col("id").cast(id_type).alias("_id"), tile.cast("int").alias(name))
+            out = out.join(found, F.col(id_column) == F.col("_id")).drop("_id")
+        else:
+            place = "lower" if spec.dense else "above"
+            heads = own.groupBy("group").agg(F.min(place).alias("head"))
+            heads = heads.withColumnRenamed("group", "_g")
+            found = own.join(heads, F.col("group").eqNullSafe(F.col("_g")))
+            found = found.select(
+                F.col("group").alias("_group"), F.col("key").alias("_key"), (F.col(place) - F.col("head") + 1).alias(name)
+            )
+            same = (-F.col(spec.value).cast(number)).eqNullSafe(F.col("_key"))
+            if spec.within is not None:
+                same &= F.col(spec.within).cast("string").eqNullSafe(F.col("_group"))
+            out = out.join(found, same).drop("_group", "_key")
+    return out.select(*df.columns, *wanted)

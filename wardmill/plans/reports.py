@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from wardmill.functions.arith import share_pct
 from wardmill.functions.text import dollars, plain_number, thousands
 from wardmill.plans.business import overall_kpis
+from wardmill.session import durable
 
 
 def sheet_exec_kpis(appointments: DataFrame, as_of: dt.date) -> DataFrame:
@@ -85,24 +86,36 @@ def report_rows(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns])
 
 
+def numbered_rows(df: DataFrame) -> DataFrame:
+    """Add ``line``, the place of a row in a frame that is in order, from 1.
+
+    An ordered frame keeps its order from partition to partition and inside each. The rows are stored with the
+    partition they are in and their place there; a line is that place and the rows of the partitions before it,
+    so no task sees more than its own rows.
+    """
+    marked = df.withColumn("_place", F.monotonically_increasing_id())
+    rows = durable(marked.withColumn("_part", F.shiftright("_place", 33)))  # the upper bits number the partition
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = rows.groupBy("_part").agg(F.count("*").alias("_n"))  # one row for each partition
+    shifts = shifts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    inside = F.col("_place") - F.shiftleft("_part", 33)
+    return rows.join(F.broadcast(shifts), "_part").select((F.col("_shift") + inside + 1).alias("line"), *df.columns)
+
+
 def sheet_layout(df: DataFrame, updated_at: dt.datetime | None = None) -> DataFrame:
     """A whole report sheet as (line, c1..cN): the update stamp and a blank line, the header, then the
-    rows in their order. For report extracts, which are limited in size."""
+    rows in their order, however many."""
     names = [f"c{i}" for i in range(1, len(df.columns) + 1)]
     top = [] if updated_at is None else [[f"🔄 Last updated: {updated_at:%Y-%m-%d %H:%M} UTC"], []]
     head = [row + [""] * (len(names) - len(row)) for row in [*top, list(df.columns)]]
     lines = df.sparkSession.createDataFrame(
         [(i, *row) for i, row in enumerate(head, start=1)], ["line", *names]
     ).withColumn("line", F.col("line").cast("bigint"))
-    in_order = Window.orderBy(F.monotonically_increasing_id())
-    body = report_rows(df).toDF(*names)
-    body = body.select((F.row_number().over(in_order) + len(head)).cast("bigint").alias("line"), *names)
+    body = numbered_rows(report_rows(df).toDF(*names)).withColumn("line", F.col("line") + len(head))
     return lines.unionByName(body).orderBy("line")
 
 
 def write_sheet(df: DataFrame, path: str, updated_at: dt.datetime | None = None) -> str:
-    """Store a report extract as one headerless CSV file."""
-    sheet_layout(df, updated_at).coalesce(1).sortWithinPartitions("line").drop("line").write.mode(
-        "overwrite"
-    ).csv(path, header=False, emptyValue="")
+    """Store a report sheet as headerless CSV files, whose names put their lines in order; a short one is one file."""
+    sheet_layout(df, updated_at).drop("line").write.mode("overwrite").csv(path, header=False, emptyValue="")
     return path

@@ -28,7 +28,7 @@ VISIT_ORDER = [
 STAR_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": "c_custkey bigint, c_nationkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
     "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
     "lineitem": "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
@@ -68,6 +68,10 @@ class StarClinic:
             ),
         )
 
+    @cached_property
+    def patient_names(self) -> DataFrame:
+        return self._read("customer").select(F.col("c_custkey").alias("patient_id"), F.col("c_name").alias("patient_name"))
+
     @cached_property
     def doctors(self) -> DataFrame:
         supplier, dep = self._read("supplier"), self.departments
