@@ -76,6 +76,16 @@ def _scan(table: str) -> Callable[[StarClinic], DataFrame]:
     return run
 
 
+def _patients_by_vote(c: StarClinic, result: str) -> DataFrame:
+    """The raw patients with dates written day first and every 7th age as a word: scanned, or what the scan rejects."""
+    schema = schemas.patients(T.LongType())
+    age = F.when(F.col("patient_id") % 7 == 0, "unknown").otherwise(F.col("age").cast("string"))
+    text = c.raw_patients.withColumn("registration_date", F.date_format("registration_date", "dd/MM/yyyy")).withColumn("age", age)
+    path = files.write_csv(text.select(*schema.fieldNames()), scratch_path(c.spark, "patients_by_day"))
+    forms = files.date_forms(c.spark, path, schema)
+    return files.scan_csv(c.spark, path, schema, forms) if result == "rows" else files.rejects(c.spark, path, schema, forms)
+
+
 def _report_rows(sheet: Callable[[StarClinic], DataFrame]) -> Callable[[StarClinic], DataFrame]:
     """A report sheet as text, with the number of each line."""
     return lambda c: reports.numbered_rows(reports.report_rows(sheet(c)))
@@ -147,6 +157,8 @@ BUILDERS: dict[str, Callable[[StarClinic], DataFrame]] = {
     "scan_csv_appointments": _scan("appointments"),
     "scan_csv_treatments": _scan("treatments"),
     "scan_csv_resources": _scan("resources"),
+    "scan_csv_dates": lambda c: _patients_by_vote(c, "rows"),
+    "scan_csv_rejects": lambda c: _patients_by_vote(c, "rejects"),
     "load_dedup": lambda c: files.for_load(c.raw_treatments),
     "row_counts": lambda c: files.row_counts(_tables(c, raw=False) | {"appointments": c.visits}),
     "inject_defects": lambda c: c.raw_patients,

@@ -35,7 +35,8 @@ def quality_job(
     one key the first of the file is kept.
     """
     def scan(name: str, schema: T.StructType) -> DataFrame:
-        return files.scan_csv(spark, f"{raw_dir}/{name}", schema, position=POSITION)
+        path = f"{raw_dir}/{name}"
+        return files.scan_csv(spark, path, schema, files.date_forms(spark, path, schema), position=POSITION)
 
     patients = scan("patients", schemas.patients(age=T.StringType()))
     appointments = scan("appointments", schemas.appointments())
@@ -53,7 +54,8 @@ def quality_job(
     for name, df in clean.items():
         files.write_csv(df.drop(POSITION), f"{clean_dir}/{name}")
     files.write_csv(files.scan_csv(spark, f"{raw_dir}/doctors", schemas.doctors()), f"{clean_dir}/doctors")
-    files.write_csv(files.scan_csv(spark, f"{raw_dir}/resources", schemas.resources()), f"{clean_dir}/resources")
+    forms = files.date_forms(spark, f"{raw_dir}/resources", schemas.resources())
+    files.write_csv(files.scan_csv(spark, f"{raw_dir}/resources", schemas.resources(), forms), f"{clean_dir}/resources")
     return report
 
 
