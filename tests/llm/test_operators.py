@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wardmill.llm import (
     byte_bpe, decontamination, language_id, license_rules, license_scan, line_dedup, near_duplicates, quality_rules,
-    sharding, substring_dedup, warc,
+    sharding, substring_dedup, warc, words,
 )
 from wardmill.session import scratch_path
 
@@ -380,3 +380,32 @@ def test_gradients_through_time():
         down = loss()
         p[at] = kept
         assert abs((up - down) / 2e-2 - g[at]) < 2e-3 + 0.05 * abs(g[at])
+
+
+def test_substring_dedup_with_a_phrase_in_every_text(spark, monkeypatch):
+    """One phrase with the smallest hash in all documents, different words around it: no window repeats. The phrase
+    deals its windows by their own hashes, and planted copies are still found."""
+    best = None
+    for k in range(2000):
+        phrase = [f"p{k}x{j}" for j in range(substring_dedup.M)]
+        data = np.frombuffer(" ".join(phrase).encode(), np.uint8)
+        start, end, _ = words.spans(data, np.array([0, len(data)]), words.SPACES)
+        value = int(words.grams(words.span_hashes(data, start, end), substring_dedup.M)[0])
+        best = min(best or (value, phrase), (value, phrase))
+    phrase = " ".join(best[1])
+    rows = [(k, f"a{k} b{k} c{k} d{k} {phrase} e{k} f{k} g{k} h{k}") for k in range(20000)]
+    rows += [(50000 + k, rows[k * 100][1]) for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    monkeypatch.setattr(substring_dedup, "SAMPLE", 4)
+    text = docs.selectExpr("doc_id", "xxhash64(text) AS th", "text")
+    assert best[0] in substring_dedup._frequent(text, 128).tolist()
+    out = substring_dedup.without_repeats(docs)
+    assert {(r["doc_id"], r["n_removed"]) for r in out.where("n_removed > 0").collect()} == {(50000 + k, 13) for k in range(100)}
+    assert out.count() == len(rows)
+
+
+def test_substring_dedup_judges_rows_of_one_id_each(spark):
+    a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, a), (2, a), (2, b), (2, b), (None, a), (3, f"x {b} y")], "doc_id long, text string")
+    found = {(r["doc_id"], r["n_words"], r["n_removed"]) for r in substring_dedup.without_repeats(docs).collect()}
+    assert found == {(1, 30, 0), (2, 30, 30), (2, 30, 0), (None, 30, 0), (3, 32, 30)}
