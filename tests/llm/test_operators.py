@@ -7,6 +7,7 @@ import re
 import zlib
 
 import public_tokenizers
+import numpy as np
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
@@ -409,3 +410,60 @@ def test_substring_dedup_judges_rows_of_one_id_each(spark):
     docs = spark.createDataFrame([(1, a), (2, a), (2, b), (2, b), (None, a), (3, f"x {b} y")], "doc_id long, text string")
     found = {(r["doc_id"], r["n_words"], r["n_removed"]) for r in substring_dedup.without_repeats(docs).collect()}
     assert found == {(1, 30, 0), (2, 30, 30), (2, 30, 0), (None, 30, 0), (3, 32, 30)}
+
+
+def test_repeated_rows_of_near_duplicates_are_one_pair(spark):
+    a = " ".join(f"w{k}" for k in range(80))
+    docs = spark.createDataFrame([(1, a)] * 200 + [(2, a + " more")] * 200, "doc_id long, text string").repartition(4)
+    given = docs.select("doc_id", "text")
+    pairs = spark.createDataFrame([(1, 2, 1)], "a long, b long, hits long")
+    sets = near_duplicates._linked  # the whole path, whose links are one pair
+    found = near_duplicates.near_duplicates(docs)
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in found.collect()} == {(1, 1, True), (2, 1, False)}
+    assert found.count() == 400
+    tables = spark.createDataFrame([(1, 5), (2, 5)], "node long, bucket long")
+    assert sets(given, tables, pairs).collect() == near_duplicates.components(pairs).collect()
+
+
+def test_rows_without_id_spread_over_the_shards(spark):
+    rows = [(None, f"text {k} " + "x" * (k % 50)) for k in range(6000)] + [(k, "y" * 30) for k in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    path = scratch_path(spark, "map")
+    placed = sharding.shard(docs, 10, path)
+    size = collections.Counter()
+    for r in placed.collect():
+        size[r["shard"]] += r["size"]
+    mean = sum(size.values()) / 10
+    assert len(size) == 10 and max(abs(v - mean) for v in size.values()) < 0.02 * mean
+    # The next table edits the stored map and moves few slots.
+    before = sharding.read_map(sharding.load_map(spark, path, 2))[0]
+    sharding.shard(docs.where("doc_id is null or doc_id > 100"), 10, path).count()
+    after, version = sharding.read_map(sharding.load_map(spark, path))
+    assert version == 3 and sum(x != y for x, y in zip(before, after)) < 0.1 * len(after)
+
+
+def test_labels_of_one_id_and_repeated_rows_are_learned_once(spark):
+    docs = spark.createDataFrame([(1, "word " * 80)] * 50 + [(2, "# $ " * 80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0)] * 30 + [(2, 0, 0), (2, 0, 0), (None, 0, 0), (1, None, 0)], "doc_id long, quality int, toxic int")
+    assert quality_rules.learn_from(quality_rules.statistics(docs), labels) == []
+    assert quality_rules.judge(docs, labels).count() == 51
+
+
+def test_language_of_held_out_documents(spark):
+    """Accuracy on documents that the network never saw, and that neither lang, source nor id are inputs."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    net = language_id.learn_from(docs)
+    apart = docs.where(language_id.held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    found = language_id.predict(apart, net, through=["doc_id", "lang"]).select("row.*", "lang_pred").collect()
+    assert len(found) > 100 and sum(r["lang"] == r["lang_pred"] for r in found) >= 0.9 * len(found)
+    hidden = docs.withColumns({"lang": F.lit("fr"), "source": F.lit("x"), "doc_id": F.col("doc_id") + 10**9}).where(F.col("text").isNotNull())
+    again = {r["text"]: r["lang_pred"] for r in language_id.predict(hidden, net, through=["text"]).select("row.text", "lang_pred").collect()}
+    first = {r["text"]: r["lang_pred"] for r in language_id.predict(docs, net, through=["text"]).select("row.text", "lang_pred").collect()}
+    assert all(first[t] == p for t, p in again.items())
+
+
+def test_repeated_sampled_rows_reach_the_driver_once(spark):
+    rows = [(1, "the cat sat there", "en")] * 3000 + [(4, "der hund sitzt da", "de")] + [(k, "le chat est la", "fr") for k in (5, 6, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = language_id.learn_from(docs, sample=2, sample_words=4)
+    assert set(net.languages) <= {"en", "de", "fr"} and len(net.languages) >= 2

@@ -18,14 +18,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from wardmill.llm.common import in_batches
+from wardmill.llm.common import in_batches, stored
 from wardmill.llm.words import frugal, slices
+from wardmill.operators import stratified
 
 UNKNOWN = "und"
 CUT = 32
 HIDDEN = 16
 #: Labelled documents of each language that are read for training, and runs of each.
 SAMPLE, SAMPLE_WORDS = 500, 60
+#: Labels that are learned.
+LANGUAGES = 256
 #: Runs whose labels a task keeps; beyond that it starts anew.
 KEEP = 150_000
 #: Bytes of text whose distinct runs are labelled together.
@@ -244,32 +247,29 @@ def _spread(most: int):
             for text in batch.column("text"):
                 runs = _runs(text.as_py().encode())
                 picked.append(list(dict.fromkeys(runs[i * len(runs) // most] for i in range(most))) if runs else [])
-            columns = [batch.column("doc_id"), batch.column("lang"), pa.array(picked, pa.list_(pa.binary()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "w"])
+            columns = [batch.column("digest"), batch.column("lang"), pa.array(picked, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["digest", "lang", "w"])
 
     return run
 
 
 def learn_from(docs: DataFrame, sample: int = SAMPLE, sample_words: int = SAMPLE_WORDS) -> Network | None:
-    """A network from at most ``sample`` documents of each language (the first by hash of the id), each giving
-    ``sample_words`` runs spread evenly over its whole text. None if no document can be learned from."""
+    """A network from at most ``sample`` texts of each of the ``LANGUAGES`` most frequent labels (the first by a hash
+    of id and text), each giving ``sample_words`` runs spread evenly over the whole text. Repeated rows are one
+    text. None if no document can be learned from. The driver gets LANGUAGES * sample * sample_words runs at most.
+    """
     usable = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    names = [r[0] for r in usable.select("lang").distinct().collect()]
-    parts = []
-    for name in names:
-        some = usable.where(F.col("lang") == F.lit(name)).select("doc_id", "lang")
-        parts.append(some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    if not parts:
+    digest = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("text").cast("string")))
+    usable = usable.select(F.col("lang").cast("string").alias("lang"), digest.alias("digest"), F.col("text").cast("string").alias("text"))
+    known = stored(usable.select("lang", "digest").distinct())
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    if not sizes:
         return None
-    chosen = parts[0]
-    for part in parts[1:]:
-        chosen = chosen.union(part)
-    ids = [(r[0], r[1]) for r in chosen.collect()]
-    found = usable.where(F.col("doc_id").isin([d for d, _ in ids])).select("doc_id", "lang", "text")
-    schema = found.select("doc_id", "lang", F.array(F.lit(b"")).alias("w")).schema
-    held = found.transform(in_batches, frugal(_spread(sample_words)), schema)
-    rows = held.select("lang", "w", "doc_id").orderBy("doc_id", "lang", "w").collect()
-    samples = [(bytes(run), r["lang"]) for r in rows for run in r["w"]]
+    cuts = stratified.cuts_of(known, "lang", F.col("digest"), {r["lang"]: min(r["n"], sample) for r in sizes})
+    chosen = usable.where(stratified.chosen("lang", F.col("digest"), cuts))
+    held = chosen.transform(in_batches, frugal(_spread(sample_words)), "digest string, lang string, w array<binary>")
+    rows = held.groupBy("digest", "lang").agg(F.min("w").alias("w")).collect()
+    samples = [(bytes(run), r["lang"]) for r in sorted(rows, key=lambda r: (r["digest"], r["lang"])) for run in r["w"]]
     return train(samples) if samples else None
 
 

@@ -109,8 +109,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi, data, bounds in words.slices(batch.column("text")):
             keys, size = shingle_sets(data, bounds)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(lo, hi - lo), words.lists(keys.view(np.int64), size)],
-                names=["node", "shingles"],
+                [*(batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "th")), words.lists(keys.view(np.int64), size)],
+                names=["node", "th", "shingles"],
             )
 
 
@@ -192,7 +192,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     sizes = F.least(F.size("left"), F.size("right")) * 100 >= PERCENT * F.greatest(F.size("left"), F.size("right"))
-    return pairs.join(left, "a").join(right, "b").where(sizes & similar(F.col("left"), F.col("right"))).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(sizes & similar(F.col("left"), F.col("right"))).select("a", "b").distinct()
 
 
 def _labelled(frame: DataFrame, labels: DataFrame, node: str, out: str) -> DataFrame:
@@ -286,8 +286,10 @@ def _linked(given: DataFrame, tables: DataFrame, stars: DataFrame) -> DataFrame:
     sets = stored(
         given.where(F.col("doc_id").isNotNull())
         .join(wanted, "doc_id", "left_semi")
-        .select("doc_id", "text")
-        .transform(in_batches, _sets, "node long, shingles array<long>")
+        .select("doc_id", F.xxhash64("text").alias("th"), "text")
+        .transform(in_batches, _sets, "node long, th long, shingles array<long>")
+        .groupBy("node", "th").agg(F.any_value("shingles").alias("shingles"))  # repeated rows have one set
+        .select("node", "shingles")
     )
     best = stars.groupBy("b").agg(F.max(F.struct("hits", (-F.col("a")).alias("minus"))).alias("top"))
     links = stored(_verified(best.select((-F.col("top.minus")).alias("a"), "b"), sets))

@@ -199,17 +199,16 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, least_precision: float = 0.
 def learn_from(measured: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Rule]:
     """Rules for quality 0, from at most ``sample`` labelled documents, the first by hash of the id.
 
-    Labels with a null doc_id or quality are left out; a doc_id that has several labels counts for each. An
-    empty label table gives no rules.
+    Labels with a null doc_id or quality are left out; a quality other than 0 counts as good. A doc_id that has
+    several labels counts once for each, one that has several rows once, with its smallest statistics, so the driver
+    gets ``sample`` rows at most. An empty label table gives no rules.
     """
     wanted = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     wanted = wanted.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-    wanted = wanted.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
-    found = measured.where(~base_failed()).join(wanted, "doc_id")
-    found = found.select("quality", *[F.expr(e).cast("double").alias(n) for n, e in FEATURES.items()]).orderBy(
-        "quality", *FEATURES
-    )
-    rows = found.toPandas()
+    wanted = wanted.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
+    values = F.struct(*[F.expr(e).cast("double").alias(n) for n, e in FEATURES.items()])
+    found = measured.where(~base_failed()).join(wanted, "doc_id").groupBy("doc_id", "quality").agg(F.min(values).alias("x"))
+    rows = found.select("quality", "x.*").toPandas().sort_values(["quality", *FEATURES], kind="stable")
     x = {n: rows[n].to_numpy(float) for n in FEATURES}
     return learn(x, rows["quality"].to_numpy() == 0)
 

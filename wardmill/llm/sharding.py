@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wardmill.llm.common import stored
@@ -21,20 +22,22 @@ SLOTS = 4096
 OVERHEAD = 16
 #: A shard is left alone while its bytes exceed the mean by less than this share.
 TOLERANCE = 0.01
+#: The same for a new table, all of whose records are placed anyway.
+EVEN = 0.002
 
 
 def slotted(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, text_crc32, vslot): size in bytes, the slot by a hash of the id.
+    """(doc_id, size, text_crc32, vslot): size in bytes, the slot by a hash of the id and the text's checksum.
 
-    A null text has no bytes and the checksum of none; rows with a null doc_id share a slot, as do rows with
-    the same id. Other columns are not read.
+    A null text has no bytes and the checksum of none. Rows with one id, or none, spread over the slots by their
+    texts; rows repeated in full share a slot. Other columns are not read.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text).cast("long") + OVERHEAD).alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(SLOTS)).cast("int").alias("vslot"),
+        F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.crc32(text)), F.lit(SLOTS)).cast("int").alias("vslot"),
     )
 
 
@@ -111,6 +114,14 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Data
     return every.where(F.col("version") == version)
 
 
+def has_map(spark: SparkSession, path: str) -> bool:
+    """Whether the folder has a version of the map."""
+    try:
+        return not spark.read.parquet(path).isEmpty()
+    except AnalysisException:  # no such folder, or nothing in it
+        return False
+
+
 def read_map(table: DataFrame) -> tuple[list[int], int]:
     """The shard of every slot and the version, for editing."""
     rows = table.select("vslot", "shard", "version").orderBy("vslot").collect()
@@ -128,12 +139,18 @@ def place(records: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def shard(docs: DataFrame, shards: int, path: str) -> DataFrame:
-    """Every row of ``docs`` with its shard, by a new map whose shards have nearly equal bytes.
+    """Every row of ``docs`` with its shard, by a map whose shards have nearly equal bytes.
 
-    An empty table gives no rows and a map of empty slots. A record larger than a shard's mean stays whole,
-    and so do rows that share an id.
+    A folder without a map gets version 1, slots dealt in turn. The latest version is then edited to the bytes that
+    the slots hold now and to ``shards``, and stored as the next one, so that later tables move few slots. An
+    empty table gives no rows and a map of empty slots. A record larger than a shard's mean stays whole, and so
+    do rows repeated in full.
     """
+    spark = docs.sparkSession
     records = stored(slotted(docs))
     load = loads(records)
-    table = save_map(docs.sparkSession, path, 1, assign([b for b, _ in load], shards), load)
-    return place(records, table)
+    if not has_map(spark, path):
+        save_map(spark, path, 1, [slot % shards for slot in range(SLOTS)], load)
+    owner, version = read_map(load_map(spark, path))
+    owner = rebalance(owner, [b for b, _ in load], shards, EVEN)
+    return place(records, save_map(spark, path, version + 1, owner, load))
