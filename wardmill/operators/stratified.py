@@ -27,12 +27,16 @@ def cuts(df: DataFrame, label: str, digest: Column, share: tuple[int, int]) -> d
     ``share`` is a ratio of whole numbers. ``df`` is read a few times: pass a stored table. Rows without a
     class are a class of their own.
     """
-    rows = df.select(F.col(label).alias("c"), digest.alias("d"))
-    sizes = rows.groupBy("c").agg(F.count("*").alias("n")).limit(MOST_CLASSES + 1).collect()
+    sizes = df.groupBy(F.col(label).alias("c")).agg(F.count("*").alias("n")).limit(MOST_CLASSES + 1).collect()
     if len(sizes) > MOST_CLASSES:
         raise ValueError(f"more than {MOST_CLASSES} classes")
     a, b = share
-    want = {r["c"]: (2 * a * r["n"] + b) // (2 * b) for r in sizes}
+    return cuts_of(df, label, digest, {r["c"]: (2 * a * r["n"] + b) // (2 * b) for r in sizes})
+
+
+def cuts_of(df: DataFrame, label: str, digest: Column, want: dict) -> dict:
+    """For every class in ``want`` the text below which its first ``want[class]`` digests lie; a class has as many."""
+    rows = df.select(F.col(label).alias("c"), digest.alias("d"))
     found = {c: "" for c, k in want.items() if k == 0}
     open_ = {c: ("", k) for c, k in want.items() if k > 0}
     length = 0
