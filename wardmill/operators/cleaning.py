@@ -6,7 +6,9 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wardmill.operators import selection
 from wardmill.operators.dedupe import keep_first
+from wardmill.session import durable
 from wardmill.sources.schemas import GENDERS, STATUSES
 
 
@@ -43,9 +45,8 @@ def _typed_patients(raw: DataFrame, order_by: list[str] | None) -> DataFrame:
 
 
 def median_age(typed: DataFrame) -> DataFrame:
-    """One row. Ages are whole years, so the value counts behind the exact median stay at 120 entries
-    however many patients there are."""
-    return typed.where(_valid_age()).agg(F.median("age").alias("median_age"))
+    """One row. Ages may have fractions; the median is found by narrowing, not by gathering the values."""
+    return selection.median(typed, F.when(_valid_age(), F.col("age")), "median_age")
 
 
 def clean_patients(raw: DataFrame, order_by: list[str] | None = None) -> DataFrame:
@@ -72,8 +73,8 @@ def clean_audit(
     patients: DataFrame, appointments: DataFrame, treatments: DataFrame, as_of: dt.date, orders: dict | None = None
 ) -> DataFrame:
     """Rows before and after each cleaner; for patients also the two kinds of imputed ages, the median
-    used and the rows dropped for their gender. Every table is read once: the deduplication carries
-    the number of rows it saw."""
+    used and the rows dropped for their gender. The deduplication carries the number of rows it saw; the
+    unique patients are stored, as the median reads them several times."""
     orders = orders or {}
 
     def first(raw: DataFrame, name: str, key: str) -> DataFrame:
@@ -86,15 +87,14 @@ def clean_audit(
         ]
 
     identified = F.col("patient_id").isNotNull()
-    typed = first(patients, "patients", "patient_id").withColumn("age", F.expr("try_cast(age AS double)"))
+    typed = durable(first(patients, "patients", "patient_id").withColumn("age", F.expr("try_cast(age AS double)")))
     parts = {
         "patients": typed.agg(
             *counts(identified & _listed_gender()),
             F.count_if(identified & ~_valid_age()).alias("ages_out_of_range"),
             F.count_if(identified & F.col("age").isNull()).alias("ages_missing"),
-            F.median(F.when(identified & _valid_age(), F.col("age"))).alias("median_age"),
             F.count_if(identified & ~F.coalesce(_listed_gender(), F.lit(False))).alias("bad_gender_dropped"),
-        ),
+        ).withColumn("median_age", median_age(typed.where(identified)).scalar()),
         "appointments": first(appointments, "appointments", "appointment_id").agg(*counts(_sound_appointment())),
         "treatments": first(treatments, "treatments", "treatment_id").agg(*counts(_sound_treatment(as_of))),
     }
