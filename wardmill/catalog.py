@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from wardmill.jobs import pipeline
+from wardmill.jobs.store import TableStore
 from wardmill.operators import cleaning, constraints, fuzzy, integrity, quality, trees
 from wardmill.plans import business, measures, model, reports, views, visuals
 from wardmill.session import durable, scratch_path
@@ -86,6 +89,38 @@ def _patients_by_vote(c: StarClinic, result: str) -> DataFrame:
     return files.scan_csv(c.spark, path, schema, forms) if result == "rows" else files.rejects(c.spark, path, schema, forms)
 
 
+#: Times of the registered jobs; results leave them out.
+RUN_AT = dt.datetime(2001, 11, 5, 2, 0)
+FILE_ORDER = {"patients": ["patient_id"], "appointments": ["appointment_id", *VISIT_ORDER], "treatments": ["treatment_id"]}
+
+
+def _jobs(c: StarClinic, last: str) -> DataFrame:
+    """The daily jobs over the raw tables as CSV files, as far as ``last``: the quality report, the row counts of the
+    loaded tables, or a refreshed view. Raw files are in order of their keys, as the first row of a key is kept."""
+    work = scratch_path(c.spark, "jobs")
+    tables = _tables(c, raw=True)
+    for name, df in tables.items():
+        df = df.drop("total_beds")
+        pipeline.export_raw({name: df.orderBy(*FILE_ORDER[name]) if name in FILE_ORDER else df}, f"{work}/raw")
+    report = pipeline.quality_job(c.spark, f"{work}/raw", f"{work}/clean", f"{work}/reports", AS_OF, RUN_AT)
+    if last == "quality":
+        return report.drop("checked_at")
+    store = TableStore(c.spark, f"{work}/tables")
+    counts = pipeline.load_job(c.spark, f"{work}/clean", store, RUN_AT)
+    if last == "load":
+        return counts
+    pipeline.refresh_job(store, RUN_AT)
+    return store.current(last)
+
+
+def _reloaded(c: StarClinic) -> DataFrame:
+    """A stored table replaced by its rows with a load timestamp: the second write leaves nothing of the first."""
+    path = scratch_path(c.spark, "reloaded")
+    files.write_table(c.treatments.withColumn("created_at", F.lit(None).cast("timestamp")), path)
+    files.write_table(files.for_load(c.raw_treatments, RUN_AT), path)
+    return c.spark.read.parquet(path).withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"))
+
+
 def _report_rows(sheet: Callable[[StarClinic], DataFrame]) -> Callable[[StarClinic], DataFrame]:
     """A report sheet as text, with the number of each line."""
     return lambda c: reports.numbered_rows(reports.report_rows(sheet(c)))
@@ -159,6 +194,10 @@ BUILDERS: dict[str, Callable[[StarClinic], DataFrame]] = {
     "scan_csv_resources": _scan("resources"),
     "scan_csv_dates": lambda c: _patients_by_vote(c, "rows"),
     "scan_csv_rejects": lambda c: _patients_by_vote(c, "rejects"),
+    "reload_table": _reloaded,
+    "job_quality": lambda c: _jobs(c, "quality"),
+    "job_load": lambda c: _jobs(c, "load"),
+    "job_refresh": lambda c: _jobs(c, "mv_doctor_performance"),
     "load_dedup": lambda c: files.for_load(c.raw_treatments),
     "row_counts": lambda c: files.row_counts(_tables(c, raw=False) | {"appointments": c.visits}),
     "inject_defects": lambda c: c.raw_patients,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKET = 1_000_000
+MOST_GROUPS = 10_000
 
 
 def percentile_cont(df: DataFrame, group: str, value: str, p: float, out: str) -> DataFrame:
@@ -33,8 +34,10 @@ def percentile_cont(df: DataFrame, group: str, value: str, p: float, out: str) -
         .where((F.col("_high") >= F.col("_before")) & (F.col("_low") < F.col("_before") + F.col("_n")))
         .select(group, "_bucket", "_before", "_low", "_high", "_weight")
     )
-    # at most two rows per group, and groups are categories
-    fine = rows.join(F.broadcast(wanted), [group, "_bucket"])
+    # at most two rows per group; more than MOST_GROUPS groups are an error
+    few = F.count("*").over(Window.partitionBy()) <= 2 * MOST_GROUPS
+    checked = F.when(few, F.col("_before")).otherwise(F.raise_error(F.lit(f"more than {MOST_GROUPS} groups")).cast("bigint"))
+    fine = rows.join(F.broadcast(wanted.withColumn("_before", checked)), [group, "_bucket"])
     counted = fine.groupBy(group, "_bucket", "_before", "_low", "_high", "_weight", "_cents").agg(
         F.count(F.lit(1)).alias("_n")
     )
