@@ -83,11 +83,11 @@ def test_tree_contraction(spark, shape):
     from pyspark.sql import functions as F
 
     rnd = random.Random(shape)
-    n = 300
+    n = 120
     parent = {
         "path": lambda k: k - 1,
         "star": lambda k: 0,
-        "caterpillar": lambda k: max(k - 2, 0) if k % 2 else max(k - 2, 0),
+        "caterpillar": lambda k: k - 1 - (k % 2 == 0 and k > 1),
         "random": lambda k: rnd.randrange(k),
         "binary": lambda k: (k - 1) // 2,
     }[shape]
