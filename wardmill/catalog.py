@@ -216,7 +216,7 @@ BUILDERS: dict[str, Callable[[StarClinic], DataFrame]] = {
     "dq_summary": lambda c: quality.severity_summary(_quality(c)),
     "dq_high_total": lambda c: quality.high_total(_quality(c)),
     "constraint_report": lambda c: constraints.constraint_report(
-        _tables(c, raw=True) | {"quality_report": _quality(c)}, AS_OF
+        _tables(c, raw=True) | {"quality_report": durable(_quality(c))}, AS_OF
     ),
     "clean_patients": _clean_patients,
     "clean_appointments": _clean_appointments,

@@ -128,8 +128,8 @@ def several(df: DataFrame, id_column: str, wanted: dict[str, Rank | Tile]) -> Da
         own = placed.where(F.col("which") == which)
         if isinstance(spec, Tile):
             # the order of this rank is one group: its head and size come from the ends
-            size = own.agg(F.min("above").alias("head"), F.count("*").alias("size"))
-            found = own.join(F.broadcast(size), F.col("above") >= F.col("head"))  # one row
+            size = own.groupBy("which").agg(F.min("above").alias("head"), F.count("*").alias("size"))
+            found = own.join(F.broadcast(size), "which")  # one row
             at = F.col("above") - F.col("head") + 1
             short, longer = F.floor(F.col("size") / spec.tiles), F.col("size") % spec.tiles
             edge = longer * (short + 1)
