@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wardmill.llm import words
-from wardmill.llm.common import in_batches
+from wardmill.llm.common import in_batches, stored
 
 K = 13
 M = 5
@@ -146,6 +146,15 @@ def _pieces(buckets: int, hot: np.ndarray) -> Callable:
     return emit
 
 
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Whole numbers in two bytes each if all fit, else in four."""
+    return x.astype(np.uint16 if x.max(initial=0) < 1 << 16 else np.uint32)
+
+
+def _widened(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint16 if len(data) == 2 * n else np.uint32)
+
+
 def _packed(bucket, ids, ths, row, at, size, begin, gram) -> pa.RecordBatch:
     """One row for each bucket; the runs are in order of their bucket."""
     edge = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
@@ -155,8 +164,7 @@ def _packed(bucket, ids, ths, row, at, size, begin, gram) -> pa.RecordBatch:
     for lo, hi in zip(edge[:-1], edge[1:]):
         held, doc = np.unique(row[lo:hi], return_inverse=True)
         parts = (
-            ids[held], ths[held], doc.astype(np.uint32), at[lo:hi].astype(np.uint32), size[lo:hi].astype(np.uint8),
-            values[window[lo] : window[hi]],
+            ids[held], ths[held], _narrow(doc), _narrow(at[lo:hi]), size[lo:hi].astype(np.uint8), values[window[lo] : window[hi]]
         )
         for column, part in zip(columns, parts):
             column.append(part.tobytes())
@@ -170,9 +178,9 @@ def _opened(rows: list[dict]) -> tuple[np.ndarray, ...]:
     for r in rows:
         size = np.frombuffer(r["size"], np.uint8).astype(np.int64)
         run = np.repeat(np.arange(len(size)), size)
-        doc = np.frombuffer(r["doc"], np.uint32)[run]
+        doc = _widened(r["doc"], len(size))[run]
         step = np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size)
-        at = np.frombuffer(r["at"], np.uint32)[run].astype(np.int64) + step
+        at = _widened(r["at"], len(size))[run].astype(np.int64) + step
         out.append((np.frombuffer(r["ids"], np.int64)[doc], np.frombuffer(r["ths"], np.int64)[doc], at, np.frombuffer(r["windows"], _U)))
     return tuple(np.concatenate(c) for c in zip(*out))
 
@@ -215,16 +223,30 @@ def _frequent(given: DataFrame, buckets: int) -> np.ndarray:
     return np.array([r[0] for r in frequent.limit(buckets).collect()], np.int64).view(_U)
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, text): ``th`` tells rows that share an id but not their text apart. It is a hash of the text for
+    such ids and 0 for all others, which costs nothing where it travels. The ids in question are a stored table, which
+    Spark broadcasts or shuffles by its measured size."""
+    text = F.col("text").cast("string")
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    unlike = given.where("doc_id is not null").groupBy("doc_id").agg(F.min("th").alias("a"), F.max("th").alias("b"))
+    unlike = stored(unlike.where("a <> b").select("doc_id", F.lit(True).alias("unlike")))
+    own = F.when(F.col("unlike"), F.col("th")).otherwise(F.lit(0).cast("long"))
+    return given.join(unlike, "doc_id", "left").select("doc_id", own.alias("th"), "text")
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, th, first_word, n_words, source, source_word): long spans that a smaller document also has.
 
     Every repeated window is in one span. Rows with a null doc_id or text, and texts of fewer than K words,
-    have no windows. ``th`` is a hash of the text: rows that share an id but not their text are judged each.
+    have no windows. Rows that share an id but not their text are judged each (``th``, see ``identified``).
     """
-    spark: SparkSession = docs.sparkSession
-    text = F.col("text").cast("string")
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    given = given.where("doc_id is not null and text is not null")
+    return _spans_of(identified(docs))
+
+
+def _spans_of(rows: DataFrame) -> DataFrame:
+    spark: SparkSession = rows.sparkSession
+    given = rows.where("doc_id is not null and text is not null")
     buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     local = given.transform(in_batches, _local_spans, _SPAN)
     pieces = given.transform(in_batches, _pieces(buckets, _frequent(given, buckets)), _PIECE)
@@ -271,9 +293,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     their text are judged each on its own. Columns but doc_id and text are ignored.
     """
     past = F.col("first_word") + F.col("n_words")
-    spans = repeated_spans(docs).groupBy("doc_id", "th").agg(F.collect_set(F.struct(F.col("first_word").alias("at"), past.alias("past"))).alias("spans"))
-    text = F.col("text").cast("string")
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    given = identified(docs)
+    spans = _spans_of(given).groupBy("doc_id", "th").agg(F.collect_set(F.struct(F.col("first_word").alias("at"), past.alias("past"))).alias("spans"))
     return given.join(spans, ["doc_id", "th"], "left").select("doc_id", "text", "spans").transform(
         in_batches, words.frugal(_removed), "doc_id long, n_words long, n_removed long, kept_text string"
     )
