@@ -40,6 +40,22 @@ def test_fuzzy_pairs_equal_brute_force(spark, threshold):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_fuzzy_pairs_of_common_trigrams_meet_on_triples(spark):
+    """Numbered names share their trigrams with a large part of all names: they meet on triples."""
+    left = [f"Supplier#{7 * k:09d}" for k in range(200)] + ["ab", "c d", "xyz" * 20]
+    right = [f"Customer#{k:09d}" for k in range(2000)] + ["ab", "d", "xyz" * 21, " ".join(f"w{k}" for k in range(40))]
+    df = fuzzy.similar_pairs(
+        spark.createDataFrame([(x,) for x in left], "a string"), spark.createDataFrame([(x,) for x in right], "b string"), "a", "b", 0.3
+    )
+    sets = {x: grams(x) for x in left + right}
+    share = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    want = {(a, b) for a in left for b in right if share(a, b) >= 0.3}
+    assert {(r.left_text, r.right_text) for r in df.collect()} == want and ("ab", "ab") in want and len(want) > 10
+    common = spark.createDataFrame([(x,) for x in left[:200]], "a string"), spark.createDataFrame([(x,) for x in right[:2000]], "b string")
+    logical = fuzzy.similar_pairs(*common, "a", "b", 0.3)._jdf.queryExecution().optimizedPlan().toString()
+    assert logical.count("xxhash64") >= 2 and "Union" not in logical  # no set here needs single trigrams
+
+
 def test_fuzzy_pairs_of_nothing(spark):
     none, some = spark.createDataFrame([], "a string"), spark.createDataFrame([("x",)], "a string")
     assert fuzzy.similar_pairs(none, some, "a", "a").count() == 0
