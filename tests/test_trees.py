@@ -140,6 +140,35 @@ def test_forest_by_hand(spark):
         assert r["p"] == pytest.approx(total / 5)
 
 
+@pytest.mark.parametrize("count", [3, trees.MOST_COLUMNS + 1])
+def test_samples_are_drawn_once(spark, monkeypatch, count):
+    """The levels of a forest read how often a tree drew a row; they do not hash the ids again."""
+    seen = []
+    monkeypatch.setattr(trees, "grow", lambda rows, *_: seen.append(rows) or [])
+    df = spark.range(50).selectExpr("id", "double(id) AS x", "int(id % 2) AS y")
+    trees.fit_forest(df, ["x"], "y", F.lit(1.0), "id", count, trees.Settings(2, seed=4))
+    assert "md5" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    held = {(t, b[0]): n for t, b, n in seen[0].groupBy("tree", "bins").agg(F.sum("n")).collect()}
+    want = df.select(F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("t"), "id")
+    want = want.withColumn("n", trees.bag("id", F.col("t"), 4)).where("n > 0").collect()
+    assert {(r.t, r.id): r.n for r in want} == held  # every row has a bin of its own
+
+
+def test_bins_are_the_upper_ends_below_a_value(spark):
+    nan, inf = float("nan"), float("inf")
+    values = [None, nan, inf, -inf, 0.0, -0.0, 1.0, math.nextafter(1.0, 2.0), math.nextafter(1.0, 0.0), 5.0, 7.5, 9.0, -3.0]
+    uppers = [[-3.0, 0.0, 1.0, 7.5], [1.0], [], [-inf, 0.0, inf], [1.0, nan], [nan], [inf]]
+    df = spark.createDataFrame([(k, v, *[v] * 6) for k, v in enumerate(values)], "id int, " + ", ".join(f"c{k} double" for k in range(7)))
+    got = trees._binned(df, [f"c{k}" for k in range(7)], uppers)
+    assert got.columns == [*df.columns, "bins"] and "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+    def below(u, v):  # as Spark compares: NaN is above all numbers
+        return v is not None and u == u and (v != v or u < v)
+
+    for r in got.collect():
+        assert r.bins == [sum(below(u, values[r.id]) for u in up) for up in uppers], values[r.id]
+
+
 def test_features_and_bags_are_spread():
     s = trees.Settings(2, choose=2, seed=1)
     seen = Counter(f for t in range(50) for f in trees.chosen_features(t, 1, 7, s))
