@@ -169,6 +169,32 @@ def test_bins_are_the_upper_ends_below_a_value(spark):
         assert r.bins == [sum(below(u, values[r.id]) for u in up) for up in uppers], values[r.id]
 
 
+def test_a_level_is_one_pass_and_the_roots_need_none(spark, monkeypatch):
+    rnd = random.Random(12)
+    data = [([rnd.randrange(4), rnd.randrange(3)], k % 2) for k in range(200)]
+    rows = spark.createDataFrame(data, "bins array<int>, tree int")
+    rows = rows.selectExpr("tree", "bins", "bigint((bins[0] - 1) * 1048576) g", "bigint(1048576) h", "bigint(1) n")
+    passes = []
+    collect = type(rows).collect
+    monkeypatch.setattr(type(rows), "collect", lambda df: passes.append(1) or collect(df))
+    uppers = [[0.0, 1.0, 2.0, 3.0], [0.0, 1.0, 2.0]]
+    nodes = trees.grow(rows, [0, 1, 2], uppers, trees.Settings(2, penalty=1.0))
+    assert len(passes) == 2 and {t for t, *_ in nodes} == {0, 1}
+    assert [n[6] for n in nodes if n[1] == 1] == [100, 100]
+    kept = trees.grow(rows, [0, 1], uppers, trees.Settings(2, least_rows=101))  # no split: roots alone
+    assert [(t, k, f, n) for t, k, f, *_, n in kept] == [(0, 1, None, 100), (1, 1, None, 100)]
+    monkeypatch.undo()
+    tree = [n for n in nodes if n[0] == 0]
+    got = trees._with_leaf(rows.withColumn("id", F.lit(1)), tree, uppers, 2).select("bins", "leaf")
+    assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
+    by_node = {k: (f, x, v) for _, k, f, x, v, _, _ in tree}
+    for bins, value in got.collect():
+        node = 1
+        while by_node[node][0] is not None:
+            node = 2 * node + (bins[by_node[node][0]] > by_node[node][1])
+        assert value == by_node[node][2]
+
+
 def test_features_and_bags_are_spread():
     s = trees.Settings(2, choose=2, seed=1)
     seen = Counter(f for t in range(50) for f in trees.chosen_features(t, 1, 7, s))
