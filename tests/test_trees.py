@@ -8,7 +8,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from wardmill.operators import stratified, trees
+from wardmill import catalog
+from wardmill.operators import packed, stratified, trees
 from wardmill.plans import model
 
 
@@ -222,6 +223,40 @@ def test_newton_boosting_learns(spark):
         assert trees.importances(fitted, spark).first().feature == "prior_no_show_rate"
 
 
+def test_scores_come_from_all_rounds_in_full_depth(spark, clinic, monkeypatch):
+    """The query that scores grows the 200 trees of the job, not a few small ones."""
+    asked = []
+
+    def fit(df, features, label, weight, count, settings, bins):
+        asked.append((count, settings.depth, settings.rate, bins))
+        return trees.Ensemble(features, settings.depth, count, mean=False)
+
+    monkeypatch.setattr(trees, "fit_boosted", fit)
+    catalog.BUILDERS["ml_boosted_scores"](clinic)
+    assert asked == [(200, 6, 0.05, 64)]
+
+
+def test_blocks_and_checkpoints_leave_the_trees_alone(spark, monkeypatch):
+    rnd = random.Random(13)
+    data = [(k, rnd.random(), None if k % 7 == 0 else float(rnd.randrange(9)), float("nan") if k % 11 == 0 else rnd.random()) for k in range(3000)]
+    data = [(*r, int(rnd.random() < 0.1 + 0.5 * r[1] + 0.3 * ((r[2] or 0) > 5))) for r in data]
+    df = spark.createDataFrame(data, "id long, a double, b double, c double, y int")
+    s = trees.Settings(3, penalty=1.0, least_weight=1.0, rate=0.3)
+    weight = F.when(F.col("y") == 1, 2.5).otherwise(1.0)
+    whole = trees.fit_boosted(df, ["a", "b", "c"], "y", weight, 6, s, 16)
+    assert {n[0] for n in whole.nodes} == set(range(6))
+    monkeypatch.setattr(packed, "ROWS_OF_A_BLOCK", 100)
+    monkeypatch.setattr(packed, "MOST_PARTS", 1)
+    monkeypatch.setattr(packed, "TREES_BETWEEN_CHECKPOINTS", 2)
+    parts = []
+    monkeypatch.setattr(packed, "_added", lambda rdd, add=packed._added: parts.append(rdd.getNumPartitions()) or add(rdd))
+    assert trees.fit_boosted(df.repartition(8), ["a", "b", "c"], "y", weight, 6, s, 16).nodes == whole.nodes
+    assert set(parts) == {spark.sparkContext.defaultParallelism}
+    by_row = df.select("id", trees.probability(whole).alias("p"))
+    both = trees.with_probability(whole, df, ["id"]).join(by_row, "id").collect()
+    assert len(both) == 3000 and all(r.score == pytest.approx(r.p, abs=1e-14) for r in both)
+
+
 # Exact stratified samples
 
 @pytest.mark.parametrize("share", [(4, 5), (1, 3), (0, 1), (1, 1)])
